@@ -12,13 +12,15 @@ large the table is:
 
     fact, n (rows), n_values (distinct values), n_outside (distinct values outside the domain),
     top (its most frequent values with their counts, at most ``TOP_VALUES``)
+
+Expressions are SQL text: one parse builds what would take hundreds of calls from Python to the JVM.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,24 +38,36 @@ KEY_SAMPLES = 10
 # threshold for limiting ranked groups before the shuffle (1000).
 TOP_VALUES = 500
 
-_FINDING = "fact string, n bigint, n_values bigint, n_outside bigint, top array<struct<value:string,n:bigint>>"
+_TOP = "array<struct<value:string,n:bigint>>"
+_FINDING = {"fact": "string", "n": "bigint", "n_values": "bigint", "n_outside": "bigint", "top": _TOP}
+_FOREIGN_REGION = "NOT IN " + R.text_list(S.LOCATION_REGIONS)
+
+
+def _as_findings(found: DataFrame) -> DataFrame:
+    """Fill the columns a finding lacks with NULL, for a union by position."""
+    return found.selectExpr(
+        *(name if name in found.columns else f"CAST(NULL AS {kind}) AS {name}" for name, kind in _FINDING.items())
+    )
 
 
-def _fact(name: str, value: Column) -> Column:
-    return F.struct(F.lit(name).alias("fact"), value.cast("string").alias("value"))
+def _fact(name: str, column: str) -> str:
+    return f"named_struct('fact', '{name}', 'value', CAST(`{column}` AS STRING))"
 
 
 def facts(rows: DataFrame, row_rules: Iterable[R.RowRule]) -> DataFrame:
     """(fact, value, n): how many rows state each fact. Rules on absent columns state none."""
-    stated = [_fact(ANOMALIES, F.col("anomaly")), _fact(REGIONS, F.col("location_region"))]
-    for rule in row_rules:
-        if rule.column in rows.columns:
-            stated.append(F.when(rule.breaks(), _fact(rule.name, F.col(rule.column))))
+    stated = [_fact(ANOMALIES, "anomaly"), _fact(REGIONS, "location_region")]
+    stated += [
+        f"CASE WHEN {rule.breaks} THEN {_fact(rule.name, rule.column)} END"
+        for rule in row_rules
+        if rule.column in rows.columns
+    ]
     return (
-        rows.select(F.explode(F.array(*stated)).alias("stated"))
-        .filter(F.col("stated").isNotNull())
-        .groupBy(F.col("stated.fact").alias("fact"), F.col("stated.value").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        rows.selectExpr(f"explode(array({', '.join(stated)})) AS stated")
+        .filter("stated IS NOT NULL")
+        .selectExpr("stated.fact AS fact", "stated.value AS value")
+        .groupBy("fact", "value")
+        .agg(F.expr("count(1) AS n"))
     )
 
 
@@ -63,71 +77,59 @@ def summarise(counted: DataFrame) -> DataFrame:
 
     Totals and ranks read the same counts, and neither filters or joins them by fact: Spark then
     runs the count once and reuses its shuffle, where a filter would be pushed down to a second scan.
+    Before ranks are shuffled by fact, each task keeps only its own ``TOP_VALUES`` of a fact, so a
+    rule broken by a billion distinct values does not fill the task that ranks it.
     """
-    foreign = ~F.col("value").isin(*S.LOCATION_REGIONS)
     totals = counted.groupBy("fact").agg(
-        F.sum("n").alias("n"),
-        F.count("value").alias("n_values"),
-        F.count_if(foreign).alias("n_outside"),
+        F.expr("sum(n) AS n"),
+        F.expr("count(value) AS n_values"),
+        F.expr(f"count_if(value {_FOREIGN_REGION}) AS n_outside"),
     )
-    # Each task keeps its own TOP_VALUES rows of a fact before this shuffle, so a rule broken by
-    # a billion distinct values does not fill the task that ranks it.
-    by_frequency = Window.partitionBy("fact").orderBy(F.desc("n"), F.asc("value"))
-    ranked = counted.withColumn("rank", F.row_number().over(by_frequency)).filter(
-        F.col("rank") <= TOP_VALUES
+    tops = (
+        counted.selectExpr("*", "row_number() OVER (PARTITION BY fact ORDER BY n DESC, value ASC) AS place")
+        .filter(f"place <= {TOP_VALUES}")
+        .groupBy("fact")
+        .agg(F.expr(_in_order("place") + " AS top"))
     )
-    tops = ranked.groupBy("fact").agg(F.sort_array(F.collect_list(F.struct("rank", "value", "n"))).alias("top"))
-    tops = tops.select("fact", _value_and_n("top").alias("top"))
     return _as_findings(totals).unionByName(_as_findings(tops))
 
 
-def _value_and_n(ordered: str) -> Column:
-    """Drop the part that put the values in order."""
-    return F.transform(ordered, lambda x: F.struct(x["value"].alias("value"), x["n"].alias("n")))
+def _in_order(place: str) -> str:
+    """SQL that collects (value, n) by place."""
+    ordered = f"sort_array(collect_list(struct({place} AS place, value, n)))"
+    return f"transform({ordered}, x -> struct(x.value AS value, x.n AS n))"
 
 
-def row_findings(rows: DataFrame, row_rules: Iterable[R.RowRule] | None = None) -> DataFrame:
-    """Pass one, with values."""
-    chosen = (*R.ROW_RULES, *R.CONDITIONAL_RULES) if row_rules is None else row_rules
-    return summarise(facts(rows, chosen))
+def row_findings(rows: DataFrame) -> DataFrame:
+    """Pass one: all row rules, with values."""
+    return summarise(facts(rows, (*R.ROW_RULES, *R.CONDITIONAL_RULES)))
 
 
-def row_counts(rows: DataFrame, row_rules: Sequence[R.RowRule]) -> DataFrame:
+def row_counts(rows: DataFrame, row_rules: Iterable[R.RowRule]) -> DataFrame:
     """Findings without values: one aggregation to a single row, which needs no shuffle of facts.
 
     Cheaper than ``row_findings`` when only some rules are asked for and no samples. The NULLs of
     every tested column are counted as well, as they decide how many values a rule tested.
     """
-    present = {rule.name: rule for rule in row_rules if rule.column in rows.columns}
-    for column in {rule.column: None for rule in present.values()}:
-        present.setdefault(f"not_null:{column}", R.not_null(column))
-    counted = {ROWS: F.count(F.lit(1)), **{name: F.count_if(rule.breaks()) for name, rule in present.items()}}
-    one_row = rows.agg(*(count.alias(name) for name, count in counted.items()))
-    pairs = [part for name in counted for part in (F.lit(name), F.col(f"`{name}`"))]
-    return _as_findings(one_row.select(F.stack(F.lit(len(counted)), *pairs).alias("fact", "n")))
-
-
-def _as_findings(found: DataFrame) -> DataFrame:
-    """Fill the columns a finding lacks with NULL, for a union by position."""
-    schema = T.StructType.fromDDL(_FINDING)
-    return found.select(
-        *(
-            F.col(f.name) if f.name in found.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema
-        )
+    wanted = {rule.name: rule for rule in row_rules if rule.column in rows.columns}
+    for rule in list(wanted.values()):
+        wanted.setdefault(f"not_null:{rule.column}", R.not_null(rule.column))
+    one_row = rows.selectExpr(
+        f"count(1) AS {ROWS}", *(f"count_if({rule.breaks}) AS `{name}`" for name, rule in wanted.items())
     )
+    pairs = ", ".join(f"'{name}', `{name}`" for name in (ROWS, *wanted))
+    return _as_findings(one_row.selectExpr(f"stack({len(wanted) + 1}, {pairs}) AS (fact, n)"))
 
 
 def distinct_regions(rows: DataFrame) -> DataFrame:
     """Finding on the distinct regions alone."""
-    counted = rows.groupBy("location_region").agg(F.count(F.lit(1)).alias("n"))
-    region = F.col("location_region")
+    regions = rows.groupBy("location_region").agg(F.expr("count(1) AS n"))
     return _as_findings(
-        counted.agg(
-            F.lit(REGIONS).alias("fact"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-            F.count(region).alias("n_values"),
-            F.count_if(~region.isin(*S.LOCATION_REGIONS)).alias("n_outside"),
+        regions.selectExpr(
+            f"'{REGIONS}' AS fact",
+            "coalesce(sum(n), 0) AS n",
+            "count(location_region) AS n_values",
+            f"count_if(location_region {_FOREIGN_REGION}) AS n_outside",
         )
     )
 
@@ -139,18 +141,16 @@ def key_findings(rows: DataFrame) -> DataFrame:
     Only repeated keys go on after the count. Their own small shuffle is there to be reused: counts
     and samples read it, instead of each finishing the count of all keys again.
     """
-    key = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in S.TRANSACTION_KEY))
-    repeated = repeated_keys(rows).select(key.alias("value"), F.col("copies").alias("n")).repartition("value")
-    counts = repeated.agg(
-        F.lit(R.UNIQUE_KEY).alias("fact"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        F.count(F.lit(1)).alias("n_values"),
+    key = ", ".join(f"coalesce(CAST(`{c}` AS STRING), 'NULL')" for c in S.TRANSACTION_KEY)
+    repeated = (
+        repeated_keys(rows).selectExpr(f"concat_ws('|', {key}) AS value", "copies AS n").repartition("value")
     )
+    name = f"'{R.UNIQUE_KEY}' AS fact"
+    counts = repeated.selectExpr(name, "n").groupBy("fact").agg(F.expr("sum(n) AS n"), F.expr("count(1) AS n_values"))
     top = (
-        repeated.orderBy(F.desc("n"), F.asc("value"))
+        repeated.orderBy(F.expr("n DESC"), F.expr("value ASC"))
         .limit(KEY_SAMPLES)
-        .agg(F.sort_array(F.collect_list(F.struct(-F.col("n"), "value", "n"))).alias("ordered"))
-        .select(F.lit(R.UNIQUE_KEY).alias("fact"), _value_and_n("ordered").alias("top"))
+        .selectExpr(name, f"{_in_order('-n')} AS top")
     )
     return _as_findings(counts).unionByName(_as_findings(top))
 
@@ -160,61 +160,61 @@ def gather(*found: DataFrame) -> DataFrame:
     union = found[0]
     for more in found[1:]:
         union = union.unionByName(more)
+    parts = ("n", "n_values", "n_outside")
     merged = union.groupBy("fact").agg(
-        *(F.max(c).alias(c) for c in ("n", "n_values", "n_outside")), F.first("top", True).alias("top")
+        *(F.expr(f"max({part}) AS {part}") for part in parts), F.expr("first(top, true) AS top")
+    )
+    return merged.selectExpr(
+        f"map_from_entries(collect_list(struct(fact, struct({', '.join(parts)}, top)))) AS found"
     )
-    entry = F.struct("fact", F.struct("n", "n_values", "n_outside", "top"))
-    return merged.agg(F.map_from_entries(F.collect_list(entry)).alias("found"))
 
 
-def _found(fact: Column | str, part: str) -> Column:
-    name = F.lit(fact) if isinstance(fact, str) else fact
-    return F.coalesce(F.try_element_at("found", name)[part], F.lit(0))
+def found(fact: str, part: str) -> str:
+    """SQL for a number of a finding; 0 where nothing stated the fact. ``fact`` is SQL as well."""
+    return f"coalesce(try_element_at(found, {fact}).{part}, 0)"
 
 
-def total_rows() -> Column:
-    """Rows of the table, from either kind of pass. Every row states one anomaly fact."""
-    return F.greatest(_found(ROWS, "n"), _found(ANOMALIES, "n"))
+# Rows of the table, from either kind of pass: every row states one anomaly fact.
+TOTAL_ROWS = f"greatest({found(f"'{ROWS}'", 'n')}, {found(f"'{ANOMALIES}'", 'n')})"
 
 
-def _check(name: str, kind: str, column: str | None, samples: int = 0, held: bool | None = None) -> Column:
+def _check(name: str, kind: str, column: str | None, samples: int = 0, held: bool | None = None) -> str:
     """A check as a constant. ``held`` is its outcome where no data has to be read for it."""
-    return F.struct(
-        F.lit(name).alias("rule"),
-        F.lit(kind).alias("kind"),
-        F.lit(column).cast("string").alias("column"),
-        F.lit(samples).alias("samples"),
-        F.lit(held).cast("boolean").alias("held"),
+    column_text = "NULL" if column is None else f"'{column}'"
+    held_text = "NULL" if held is None else str(held)
+    return (
+        f"named_struct('rule', '{name}', 'kind', '{kind}', 'column', CAST({column_text} AS STRING), "
+        f"'samples', {samples}, 'held', CAST({held_text} AS BOOLEAN))"
     )
 
 
-def row_checks(rules: Iterable[R.RowRule], columns: Sequence[str]) -> list[Column]:
+def row_checks(rules: Iterable[R.RowRule], columns: Sequence[str]) -> list[str]:
     """A check on an absent column fails and counts nothing."""
     return [
         _check(r.name, r.kind, r.column, r.samples, None if r.column in columns else False) for r in rules
     ]
 
 
-def schema_checks(schema: T.StructType) -> list[Column]:
-    """Checks on column names and types. They read no data."""
+def schema_checks(schema: T.StructType) -> list[str]:
+    """Checks on column names and types. They read no values."""
     made = [_check(R.COLUMN_SET, "column_set", None, held=set(schema.names) == set(R.EXPECTED_COLUMNS))]
     for rule in R.TYPE_RULES:
-        found = schema[rule.column].dataType if rule.column in schema.names else None
-        made.append(_check(rule.name, rule.kind, rule.column, held=isinstance(found, rule.expected)))
+        actual = schema[rule.column].dataType if rule.column in schema.names else None
+        made.append(_check(rule.name, rule.kind, rule.column, held=isinstance(actual, rule.expected)))
     return made
 
 
-def distinct_check(columns: Sequence[str]) -> Column:
+def distinct_check(columns: Sequence[str]) -> str:
     column = "location_region"
     return _check(R.DISTINCT_REGIONS, "distinct_in_set", column, held=None if column in columns else False)
 
 
-def unique_check(columns: Sequence[str]) -> Column:
+def unique_check(columns: Sequence[str]) -> str:
     complete = set(S.TRANSACTION_KEY) <= set(columns)
     return _check(R.UNIQUE_KEY, "unique", None, KEY_SAMPLES, None if complete else False)
 
 
-def suite_checks(schema: T.StructType) -> list[Column]:
+def suite_checks(schema: T.StructType) -> list[str]:
     """The 35 checks of the suite."""
     return [
         *schema_checks(schema),
@@ -224,50 +224,46 @@ def suite_checks(schema: T.StructType) -> list[Column]:
     ]
 
 
-def conditional_checks(schema: T.StructType) -> list[Column]:
-    return row_checks(R.CONDITIONAL_RULES, schema.names)
+_TESTED = f"""CASE
+    WHEN c.kind IN ('column_set', 'type') THEN {TOTAL_ROWS}
+    WHEN c.held IS NOT NULL THEN 0
+    WHEN c.kind = 'distinct_in_set' THEN {found(f"'{REGIONS}'", 'n_values')}
+    WHEN c.kind IN ('not_null', 'unique') THEN {TOTAL_ROWS}
+    ELSE {TOTAL_ROWS} - {found("concat('not_null:', c.column)", 'n')} END"""
 
+_BROKEN = f"""CASE
+    WHEN c.held IS NOT NULL THEN 0
+    WHEN c.kind = 'distinct_in_set' THEN {found(f"'{REGIONS}'", 'n_outside')}
+    ELSE {found('c.rule', 'n')} END"""
 
-def _result(check: Column) -> Column:
-    kind = check["kind"]
-    unread = check["held"].isNotNull()
-    tested = (
-        F.when(kind.isin("column_set", "type"), total_rows())
-        .when(unread, F.lit(0))
-        .when(kind == "distinct_in_set", _found(REGIONS, "n_values"))
-        .when(kind.isin("not_null", "unique"), total_rows())
-        .otherwise(total_rows() - _found(F.concat(F.lit("not_null:"), check["column"]), "n"))
-    )
-    broken = (
-        F.when(unread, F.lit(0))
-        .when(kind == "distinct_in_set", _found(REGIONS, "n_outside"))
-        .otherwise(_found(check["rule"], "n"))
-    )
-    top = F.slice(F.try_element_at("found", check["rule"])["top"], 1, F.greatest(check["samples"], F.lit(0)))
-    return F.struct(
-        check["rule"].alias("rule"),
-        kind.alias("kind"),
-        check["column"].alias("column"),
-        F.coalesce(check["held"], broken == 0).alias("success"),
-        tested.alias("tested"),
-        broken.alias("unexpected_count"),
-        F.when(tested > 0, F.lit(100.0) * broken / tested).otherwise(F.lit(0.0)).alias("unexpected_percent"),
-        F.coalesce(top, F.array().cast("array<struct<value:string,n:bigint>>")).alias("samples"),
-    )
 
-
-def judge(gathered: DataFrame, checks: Sequence[Column], name: str = "suite") -> DataFrame:
+def judge(gathered: DataFrame, checks: Sequence[str], name: str = "suite") -> DataFrame:
     """Add the results of some checks to the gathered findings, as an array under ``name``.
 
-    A transform over the constant checks is one small expression; one expression for each check
-    would outgrow the size limit of generated code.
+    The checks are constants and one small expression judges each of them; one expression for each
+    check would outgrow the size limit of generated code.
     """
-    return gathered.withColumn(name, F.transform(F.array(*checks), _result))
+    counted = (
+        f"transform(array({', '.join(checks)}), c -> named_struct('check', c, 'tested', {_TESTED}, "
+        f"'broken', {_BROKEN}))"
+    )
+    result = f"""named_struct(
+        'rule', r.check.rule,
+        'kind', r.check.kind,
+        'column', r.check.column,
+        'success', coalesce(r.check.held, r.broken = 0),
+        'tested', r.tested,
+        'unexpected_count', r.broken,
+        'unexpected_percent',
+            CASE WHEN r.tested > 0 THEN 100D * r.broken / r.tested ELSE 0D END,
+        'samples', coalesce(
+            slice(try_element_at(found, r.check.rule).top, 1, r.check.samples), CAST(array() AS {_TOP})))"""
+    return gathered.selectExpr("*", f"transform({counted}, r -> {result}) AS {name}")
 
 
 def result_rows(judged: DataFrame, name: str = "suite") -> DataFrame:
     """One row for each result, without samples."""
-    return judged.select(F.inline(name)).drop("samples")
+    return judged.selectExpr(f"inline({name})").drop("samples")
 
 
 def all_findings(rows: DataFrame) -> DataFrame:
@@ -280,7 +276,7 @@ def all_findings(rows: DataFrame) -> DataFrame:
 def run_suite(rows: DataFrame) -> DataFrame:
     """Both passes and all checks: one row with ``found``, ``suite`` and ``conditional``."""
     judged = judge(all_findings(rows), suite_checks(rows.schema))
-    return judge(judged, conditional_checks(rows.schema), "conditional")
+    return judge(judged, row_checks(R.CONDITIONAL_RULES, rows.columns), "conditional")
 
 
 def run_schema_checks(rows: DataFrame) -> DataFrame:

@@ -6,10 +6,8 @@ Everything here reads the single row that ``engine.run_suite`` makes, so nothing
 from __future__ import annotations
 
 from datetime import datetime, timezone
-from functools import partial
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from assaylake import schemas as S
 from assaylake.quality import engine as E
@@ -44,100 +42,88 @@ _WHOLE_TABLE = ("column_set", "type", "distinct_in_set")
 
 def rule_samples(judged: DataFrame) -> DataFrame:
     """(rule, value, n): the most frequent values that broke each rule."""
-    return (
-        judged.select(F.explode(F.concat("suite", "conditional")).alias("result"))
-        .select(F.col("result.rule").alias("rule"), F.inline("result.samples"))
+    return judged.selectExpr("explode(concat(suite, conditional)) AS result").selectExpr(
+        "result.rule AS rule", "inline(result.samples)"
     )
 
 
-def _all_pass(results: str) -> Column:
-    return F.forall(results, lambda result: result["success"])
+def _all_pass(results: str) -> str:
+    return f"forall({results}, r -> r.success)"
 
 
-def verdict(judged: DataFrame) -> DataFrame:
-    """One row: did the suite pass, did the conditional rules, did both."""
-    return judged.select(
-        _all_pass("suite").alias("validation_success"),
-        _all_pass("conditional").alias("conditional_rules_success"),
-        (_all_pass("suite") & _all_pass("conditional")).alias("overall_success"),
-    )
+_VERDICTS = {
+    "validation_success": _all_pass("suite"),
+    "conditional_rules_success": _all_pass("conditional"),
+    "overall_success": f"{_all_pass('suite')} AND {_all_pass('conditional')}",
+}
 
 
-def _failure(result: Column) -> Column:
-    names = F.create_map(*(F.lit(text) for pair in EXPECTATIONS.items() for text in pair))
-    whole_table = result["kind"].isin(*_WHOLE_TABLE)
-    return F.struct(
-        names[result["kind"]].alias("expectation"),
-        result["column"].alias("column"),
-        F.when(whole_table, 0).otherwise(result["unexpected_count"]).alias("unexpected_count"),
-        F.when(whole_table, 0.0).otherwise(result["unexpected_percent"]).alias("unexpected_percent"),
-        F.transform(result["samples"], lambda sample: sample["value"]).alias("partial_unexpected_list"),
-    )
+def verdict(judged: DataFrame) -> DataFrame:
+    """One row: did the suite pass, did the conditional rules, did both."""
+    return judged.selectExpr(*(f"{test} AS {name}" for name, test in _VERDICTS.items()))
 
 
-def _failures() -> Column:
+def _failures() -> str:
     """Failed checks of the suite, in suite order."""
-    return F.transform(F.filter("suite", lambda result: ~result["success"]), _failure)
+    names = ", ".join(f"'{text}'" for pair in EXPECTATIONS.items() for text in pair)
+    whole_table = f"r.kind IN {R.text_list(_WHOLE_TABLE)}"
+    return f"""transform(filter(suite, r -> NOT r.success), r -> named_struct(
+        'expectation', map({names})[r.kind],
+        'column', r.column,
+        'unexpected_count', if({whole_table}, 0L, r.unexpected_count),
+        'unexpected_percent', if({whole_table}, 0D, r.unexpected_percent),
+        'partial_unexpected_list', transform(r.samples, x -> x.value)))"""
 
 
 def failed_checks(judged: DataFrame) -> DataFrame:
     """One row for each failed check of the suite, with its most frequent offending values."""
-    return judged.select(F.inline(_failures()))
-
-
-def _is_rule(rule: str, result: Column) -> Column:
-    return result["rule"] == rule
+    return judged.selectExpr(f"inline({_failures()})")
 
 
-def _conditional_failures() -> Column:
+def _conditional_failures() -> str:
     made = []
     for rule, name in CONDITIONAL_NAMES.items():
-        result = F.filter("conditional", partial(_is_rule, rule))[0]
-        parts = [result["unexpected_count"].alias("invalid_count")]
+        result = f"filter(conditional, r -> r.rule = '{rule}')[0]"
+        parts = f"'invalid_count', {result}.unexpected_count"
         if rule in SAMPLED_CONDITIONALS:
-            values = F.transform(result["samples"], lambda sample: sample["value"])
-            parts.append(values.alias("sample_values"))
-        made.append(F.struct(*parts).alias(name))
-    return F.struct(*made)
+            parts += f", 'sample_values', transform({result}.samples, x -> x.value)"
+        made.append(f"'{name}', named_struct({parts})")
+    return f"named_struct({', '.join(made)})"
 
 
-def _distribution(fact: str) -> Column:
+def _distribution(fact: str) -> str:
     """All values of a column with their counts, as a map. NULLs count under the key ``null``.
 
     NULL when the column has more values than one row should hold: the table written beside the
     report then has them all.
     """
-    found = F.try_element_at("found", F.lit(fact))
-    top = F.transform(
-        found["top"], lambda x: F.struct(F.coalesce(x["value"], F.lit("null")).alias("value"), x["n"].alias("n"))
-    )
+    found = f"try_element_at(found, '{fact}')"
+    top = f"transform({found}.top, x -> struct(coalesce(x.value, 'null') AS value, x.n AS n))"
 
-    def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0).cast("bigint"), lambda sum_, x: sum_ + x["n"])
+    def total(values: str) -> str:
+        return f"aggregate({values}, 0L, (held, x) -> held + x.n)"
 
-    keys = F.array_distinct(F.transform(top, lambda x: x["value"]))
-    counts = F.transform(keys, lambda key: total(F.filter(top, lambda x: x["value"] == key)))
-    return F.when(total(top) == found["n"], F.map_from_arrays(keys, counts))
+    keys = f"array_distinct(transform({top}, x -> x.value))"
+    counts = f"transform({keys}, key -> {total(f'filter({top}, y -> y.value = key)')})"
+    return f"if({total(top)} = {found}.n, map_from_arrays({keys}, {counts}), NULL)"
 
 
 def report(judged: DataFrame, run_at: datetime | None = None) -> DataFrame:
     """One row, one column ``metrics_json``: the whole quality report as one line of JSON."""
     run_at = run_at or datetime.now(timezone.utc)
-    repeated = F.try_element_at("found", F.lit(R.UNIQUE_KEY))["n_values"]
-    body = F.struct(
-        F.lit(run_at.isoformat()).alias("execution_timestamp_utc"),
-        E.total_rows().alias("total_records"),
-        _all_pass("suite").alias("validation_success"),
-        _all_pass("conditional").alias("conditional_rules_success"),
-        (_all_pass("suite") & _all_pass("conditional")).alias("overall_success"),
-        F.size("suite").alias("total_expectations"),
-        F.size(F.filter("suite", lambda r: r["success"])).alias("successful_expectations"),
-        F.size(F.filter("suite", lambda r: ~r["success"])).alias("failed_expectations_count"),
-        _failures().alias("failed_expectations"),
-        _conditional_failures().alias("conditional_failures"),
-        F.coalesce(repeated, F.lit(0)).alias("duplicate_count"),
-        _distribution(E.ANOMALIES).alias("anomaly_distribution"),
-        _distribution(E.REGIONS).alias("location_region_distribution"),
-        F.array(*(F.lit(region) for region in S.LOCATION_REGIONS)).alias("allowed_location_regions"),
-    )
-    return judged.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("metrics_json"))
+    parts = {
+        "execution_timestamp_utc": f"'{run_at.isoformat()}'",
+        "total_records": E.TOTAL_ROWS,
+        **_VERDICTS,
+        "total_expectations": "size(suite)",
+        "successful_expectations": "size(filter(suite, r -> r.success))",
+        "failed_expectations_count": "size(filter(suite, r -> NOT r.success))",
+        "failed_expectations": _failures(),
+        "conditional_failures": _conditional_failures(),
+        "duplicate_count": E.found(f"'{R.UNIQUE_KEY}'", "n_values"),
+        "anomaly_distribution": _distribution(E.ANOMALIES),
+        "location_region_distribution": _distribution(E.REGIONS),
+        "allowed_location_regions": f"array{R.text_list(S.LOCATION_REGIONS)}",
+    }
+    body = ", ".join(f"'{name}', {part}" for name, part in parts.items())
+    return judged.selectExpr(f"to_json(named_struct({body}), map('ignoreNullFields', 'false')) AS metrics_json")

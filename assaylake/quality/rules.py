@@ -1,16 +1,14 @@
 """The rules of the quality suite.
 
-A row rule is a condition that is true where a row breaks it. NULLs are left to the not-null rules:
-a condition over a NULL is NULL, which counts as neither.
+A row rule is a SQL condition that is true where a row breaks it. NULLs are left to the not-null
+rules: a condition over a NULL is NULL, which counts as neither.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assaylake import schemas as S
@@ -18,12 +16,12 @@ from assaylake import schemas as S
 
 @dataclass(frozen=True)
 class RowRule:
-    """A rule that looks at one row at a time. ``column`` gives the tested value."""
+    """A rule that looks at one row at a time. ``column`` holds the tested value."""
 
     name: str
     kind: str
     column: str
-    breaks: Callable[[], Column]
+    breaks: str
     samples: int = 10
 
 
@@ -37,37 +35,38 @@ class TypeRule:
     expected: type[T.DataType]
 
 
+def text_list(values: Sequence[str]) -> str:
+    """SQL list of string literals."""
+    return "(" + ", ".join(f"'{value}'" for value in values) + ")"
+
+
 def not_null(column: str) -> RowRule:
-    return RowRule(f"not_null:{column}", "not_null", column, lambda: F.col(column).isNull())
+    return RowRule(f"not_null:{column}", "not_null", column, f"`{column}` IS NULL")
 
 
-def in_set(column: str, domain: tuple[str, ...]) -> RowRule:
-    return RowRule(f"in_set:{column}", "in_set", column, lambda: ~F.col(column).isin(*domain))
+def in_set(column: str, domain: Sequence[str]) -> RowRule:
+    return RowRule(f"in_set:{column}", "in_set", column, f"`{column}` NOT IN {text_list(domain)}")
 
 
 def in_range(column: str, low: int, high: int | None = None) -> RowRule:
     """Bounds are inclusive; without ``high`` the range is open above."""
-
-    def breaks() -> Column:
-        below = F.col(column) < low
-        return below if high is None else below | (F.col(column) > high)
-
-    return RowRule(f"range:{column}", "range", column, breaks)
+    outside = f"`{column}` < {low}" + ("" if high is None else f" OR `{column}` > {high}")
+    return RowRule(f"range:{column}", "range", column, outside)
 
 
 def has_length(column: str, n: int) -> RowRule:
-    return RowRule(f"length{n}:{column}", "length", column, lambda: F.length(column) != n)
+    return RowRule(f"length{n}:{column}", "length", column, f"length(`{column}`) <> {n}")
 
 
 def matches(column: str, pattern: str) -> RowRule:
-    return RowRule(f"regex:{column}", "regex", column, lambda: ~F.col(column).rlike(pattern))
+    return RowRule(f"regex:{column}", "regex", column, f"NOT `{column}` RLIKE r'{pattern}'")
 
 
 def not_matching(name: str, column: str, pattern: str) -> RowRule:
-    return RowRule(name, "not_regex", column, lambda: F.col(column).rlike(pattern))
+    return RowRule(name, "not_regex", column, f"`{column}` RLIKE r'{pattern}'")
 
 
-def conditional(name: str, column: str, breaks: Callable[[], Column]) -> RowRule:
+def conditional(name: str, column: str, breaks: str) -> RowRule:
     return RowRule(f"cond:{name}", "conditional", column, breaks, samples=20)
 
 
@@ -112,32 +111,17 @@ DISTINCT_REGIONS = "distinct_in_set:location_region"
 UNIQUE_KEY = "unique:transaction"
 
 
-def _is(column: str, value: str) -> Column:
-    return F.col(column) == value
-
-
-def _risk_outside(level: str, low: int, high: int, high_included: bool) -> Callable[[], Column]:
-    def breaks() -> Column:
-        score = F.col("risk_score")
-        above = score > high if high_included else score >= high
-        return _is("anomaly", level) & ((score < low) | above)
-
-    return breaks
-
-
 CONDITIONAL_RULES: tuple[RowRule, ...] = (
     conditional(
         "transfer_purchase_pattern",
         "purchase_pattern",
-        lambda: _is("transaction_type", "transfer") & ~_is("purchase_pattern", "none"),
+        "transaction_type = 'transfer' AND purchase_pattern <> 'none'",
     ),
+    conditional("transfer_age_group", "age_group", "transaction_type = 'transfer' AND age_group <> 'none'"),
+    conditional("high_risk", "risk_score", "anomaly = 'high_risk' AND (risk_score < 70 OR risk_score > 100)"),
     conditional(
-        "transfer_age_group",
-        "age_group",
-        lambda: _is("transaction_type", "transfer") & ~_is("age_group", "none"),
+        "moderate_risk", "risk_score", "anomaly = 'moderate_risk' AND (risk_score < 40 OR risk_score >= 70)"
     ),
-    conditional("high_risk", "risk_score", _risk_outside("high_risk", 70, 100, True)),
-    conditional("moderate_risk", "risk_score", _risk_outside("moderate_risk", 40, 70, False)),
-    conditional("low_risk", "risk_score", _risk_outside("low_risk", 0, 40, False)),
-    conditional("region_domain", "location_region", lambda: ~F.col("location_region").isin(*S.LOCATION_REGIONS)),
+    conditional("low_risk", "risk_score", "anomaly = 'low_risk' AND (risk_score < 0 OR risk_score >= 40)"),
+    conditional("region_domain", "location_region", f"location_region NOT IN {text_list(S.LOCATION_REGIONS)}"),
 )

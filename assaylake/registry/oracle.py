@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from assaylake import schemas as S
-from assaylake.registry.transactions import RAW_TEXT, TX_COLUMNS
+from assaylake.registry.transactions import NUMBERED_EVENTS, RAW_TEXT, TX_COLUMNS
 
 _COLS = ", ".join(f'"{c}"' for c in S.RAW_COLUMNS)
 
-_TX = "SELECT " + ", ".join(f'{e} AS "{c}"' for c, e in TX_COLUMNS.items()) + " FROM events"
+_TX = "SELECT " + ", ".join(f'{e} AS "{c}"' for c, e in TX_COLUMNS.items()) + " FROM numbered"
 
-_RAW_BASE = "SELECT event_id, " + ", ".join(f'{e} AS "{c}"' for c, e in RAW_TEXT.items()) + " FROM events"
+_RAW_BASE = "SELECT event_id, " + ", ".join(f'{e} AS "{c}"' for c, e in RAW_TEXT.items()) + " FROM numbered"
 _SAME_KEY = ", ".join("'77' AS session_duration" if c == "session_duration" else f'"{c}"' for c in S.RAW_COLUMNS)
 
 _VALID = """ "timestamp" IS NOT NULL AND sending_address IS NOT NULL AND receiving_address IS NOT NULL
@@ -62,7 +62,8 @@ _TYPED_ALL = f"""
     {_decimal("risk_score", "DECIMAL(5,2)")} AS risk_score, anomaly
   FROM normalised"""
 
-_WITH = f"""WITH tx AS ({_TX}),
+_WITH = f"""WITH numbered AS ({NUMBERED_EVENTS}),
+tx AS ({_TX}),
 tx_valid AS (SELECT * FROM tx WHERE {_VALID}),
 base AS ({_RAW_BASE}),
 raw AS (SELECT {_COLS} FROM base

@@ -18,7 +18,8 @@ from assaylake.session import pin_utc
 # A fixed load time, so that results can be repeated.
 LOADED_AT = datetime(2024, 2, 1)
 
-_K = "regexp_extract(props, '[0-9]+', 0)"
+# Events with the number held in ``props`` as text, taken out once.
+NUMBERED_EVENTS = "SELECT *, regexp_extract(props, '[0-9]+', 0) AS k FROM events"
 
 TX_COLUMNS = {
     "timestamp": "CAST(ts AS TIMESTAMP)",
@@ -36,9 +37,9 @@ TX_COLUMNS = {
     "purchase_pattern": """CASE WHEN event_type = 'view' AND event_id % 11 <> 0 THEN 'none'
         ELSE 'focused' END""",
     "age_group": "CASE WHEN event_type = 'view' THEN 'none' ELSE 'veteran' END",
-    "risk_score": f"TRY_CAST({_K} AS DECIMAL(5,2))",
-    "anomaly": f"""CASE WHEN TRY_CAST({_K} AS INT) >= 70 THEN 'high_risk'
-        WHEN TRY_CAST({_K} AS INT) > 40 THEN 'moderate_risk' ELSE 'low_risk' END""",
+    "risk_score": "TRY_CAST(k AS DECIMAL(5,2))",
+    "anomaly": """CASE WHEN TRY_CAST(k AS INT) >= 70 THEN 'high_risk'
+        WHEN TRY_CAST(k AS INT) > 40 THEN 'moderate_risk' ELSE 'low_risk' END""",
 }
 
 RAW_TEXT = {
@@ -68,12 +69,12 @@ RAW_TEXT = {
         WHEN event_type = 'view' THEN 'None' ELSE ' Focused' END""",
     "age_group": """CASE WHEN event_id % 43 = 0 THEN NULL WHEN event_id % 41 = 0 THEN 'ancient'
         WHEN event_type = 'view' THEN 'none' ELSE 'VETERAN' END""",
-    "risk_score": f"""CASE WHEN event_id % 67 = 0 THEN '120' WHEN event_id % 47 = 0 THEN '1234,5'
-        WHEN event_id % 2 = 0 THEN {_K} || ',125' ELSE {_K} END""",
-    "anomaly": f"""CASE WHEN event_id % 131 = 0 THEN NULL WHEN event_id % 59 = 0 THEN 'unknown'
+    "risk_score": """CASE WHEN event_id % 67 = 0 THEN '120' WHEN event_id % 47 = 0 THEN '1234,5'
+        WHEN event_id % 2 = 0 THEN k || ',125' ELSE k END""",
+    "anomaly": """CASE WHEN event_id % 131 = 0 THEN NULL WHEN event_id % 59 = 0 THEN 'unknown'
         WHEN event_id % 139 = 0 THEN 'high_risk' WHEN event_id % 137 = 0 THEN 'moderate_risk'
-        WHEN TRY_CAST({_K} AS INT) >= 70 THEN 'HIGH_RISK'
-        WHEN TRY_CAST({_K} AS INT) > 40 THEN 'moderate_risk ' ELSE 'low_risk' END""",
+        WHEN TRY_CAST(k AS INT) >= 70 THEN 'HIGH_RISK'
+        WHEN TRY_CAST(k AS INT) > 40 THEN 'moderate_risk ' ELSE 'low_risk' END""",
 }
 
 
@@ -82,9 +83,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).withColumn("k", F.regexp_extract("props", "[0-9]+", 0))
+
+
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TX: one typed transaction for each event, without the load time."""
-    return events(spark, sf_dir).select(*(F.expr(e).alias(c) for c, e in TX_COLUMNS.items()))
+    return _numbered(spark, sf_dir).select(*(F.expr(e).alias(c) for c, e in TX_COLUMNS.items()))
 
 
 def typed_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,19 +102,19 @@ def typed_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RAW: every event as 13 dirty strings, some of them twice and some again under another session
-    length. The extra rows come from one scan of ``events``."""
+    length. The extra rows come from one scan of ``events``.
+
+    Whole rows pass through the explode, so that later filters stay above it, as they would above a
+    scan of stored rows, and do not derive the text a second time.
+    """
     event_id = F.col("event_id")
-    versions = F.array(
-        F.lit("original"), F.when(event_id % 20 == 0, "copy"), F.when(event_id % 30 == 0, "same key")
-    )
-    rows = (
-        events(spark, sf_dir)
-        .select("event_id", *(F.expr(e).alias(c) for c, e in RAW_TEXT.items()))
-        .withColumn("version", F.explode(versions))
-        .filter(F.col("version").isNotNull())
+    text = _numbered(spark, sf_dir).select("event_id", *(F.expr(e).alias(c) for c, e in RAW_TEXT.items()))
+    original = F.struct(*S.RAW_COLUMNS)
+    same_key = F.struct(
+        *(F.lit("77").alias(c) if c == "session_duration" else F.col(c) for c in S.RAW_COLUMNS)
     )
-    session = F.when(F.col("version") == "same key", "77").otherwise(F.col("session_duration"))
-    return rows.withColumn("session_duration", session).select(*S.RAW_COLUMNS)
+    versions = F.array(original, F.when(event_id % 20 == 0, original), F.when(event_id % 30 == 0, same_key))
+    return text.select(F.explode(versions).alias("row")).filter(F.col("row").isNotNull()).select("row.*")
 
 
 def raw_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
