@@ -33,3 +33,5 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op9_quality_rules": op9_quality_rules,
 }
+
+ORACLE: dict[str, str] = {}
