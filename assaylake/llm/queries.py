@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assaylake.llm import quality_rules
+from assaylake.llm import near_duplicates, quality_rules
 from assaylake.plans.scratch import new_folder
 
 
@@ -30,7 +30,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicate documents: three-word shingles, similarity of 0.85 or more."""
+    docs = _table(spark, sf_dir, "documents")
+    return near_duplicates.near_duplicates(docs, scratch=new_folder(spark, "minhash"), words=3, percent=85)
+
+
 QUERIES = {
+    "op7_minhash": op7_minhash,
     "op9_quality_rules": op9_quality_rules,
 }
 
