@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assaylake.llm import near_duplicates, quality_rules
+from assaylake.llm import bpe, decontamination, near_duplicates, quality_rules, secrets
+from assaylake.llm.oracle import ORACLE  # noqa: F401
 from assaylake.plans.scratch import new_folder
 
 
@@ -30,6 +31,43 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that lie inside benchmark windows, and the items these come from."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    leaks = F.col("leaks")
+    return decontamination.with_leaks(docs, _table(spark, sf_dir, "benchmark")).select(
+        "doc_id",
+        leaks["n_words"].alias("n_words"),
+        leaks["n_hit"].alias("n_hit"),
+        F.size(leaks["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(leaks["items"], ","), 256).alias("items_sha256"),
+        (leaks["n_hit"] > 0).alias("contaminated"),
+    )
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of each text and of the text decoded from them."""
+    import public_tokenizers
+
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), file)
+    decoded = bpe.decode(ids.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids"), file)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document, from a new ledger. This method adds no spans of its own to the base ones."""
+    ledger = new_folder(spark, "secrets")
+    docs = _table(spark, sf_dir, "documents")
+    secrets.scan(docs, ledger, path="doc_id")
+    found = secrets.findings_by_path(spark, ledger, path_type=docs.schema["doc_id"].dataType.simpleString())
+    count = lambda rule: F.size(F.filter("spans", lambda s: s["rule"] == rule)).cast("long").alias(f"n_{rule}")
+    text = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["rule"], s["start"], s["stop"])), ",")
+    return found.select(
+        F.col("path").alias("doc_id"), *map(count, ("assign", "access", "hex")), F.sha2(text, 256).alias("base_sha256"), text.alias("spans")
+    )
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicate documents: three-word shingles, similarity of 0.85 or more."""
     docs = _table(spark, sf_dir, "documents")
@@ -37,8 +75,9 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op5_secrets": op5_secrets,
     "op7_minhash": op7_minhash,
     "op9_quality_rules": op9_quality_rules,
 }
-
-ORACLE: dict[str, str] = {}
