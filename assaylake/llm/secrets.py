@@ -124,17 +124,38 @@ def _none() -> Column:
     return F.array().cast("array<struct<rule:string,rule_version:int,i:int,gap:int,whole:int,good:boolean>>")
 
 
-def findings_by_path(spark: SparkSession, ledger: str, *, path_type: str = "string", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Every path and version with its findings under the present rule versions: an array of (start, order
-    of the rule, stop, rule), sorted. Findings are gathered for each blob before they meet its paths."""
+def findings_by_blob(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, spans) for blobs with findings under the present rule versions; the spans are an array of
+    (start, order of the rule, stop, rule), sorted."""
     present = reduce(lambda a, b: a | b, ((F.col("rule") == r.name) & (F.col("rule_version") == r.version) for r in rules))
     order = reduce(lambda e, r: F.when(F.col("rule") == r[1].name, r[0]).otherwise(e), enumerate(rules), F.lit(None).cast("int"))
-    spans = (
+    return (
         ledger_table(spark, ledger, "findings")
         .where(present)
         .groupBy("blob")
         .agg(F.sort_array(F.collect_set(F.struct("start", order.alias("order"), "stop", "rule"))).alias("spans"))
     )
+
+
+def findings_by_path(spark: SparkSession, ledger: str, *, path_type: str = "string", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Every path and version in the ledger with its spans, perhaps none."""
     empty = F.array().cast("array<struct<start:bigint,order:int,stop:bigint,rule:string>>")
     paths = ledger_table(spark, ledger, "paths", path_type)
-    return paths.join(spans, "blob", "left").select("path", "version", "blob", F.coalesce("spans", empty).alias("spans"))
+    return paths.join(findings_by_blob(spark, ledger, rules), "blob", "left").select(
+        "path", "version", "blob", F.coalesce("spans", empty).alias("spans")
+    )
+
+
+def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
+    """``text`` with each run of overlapping spans replaced by a mark. ``spans`` is sorted, or NULL."""
+    zero = F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("at"))
+
+    def step(so_far: Column, s: Column) -> Column:
+        gap = F.substring(text, so_far["at"].cast("int") + 1, (s["start"] - so_far["at"]).cast("int"))
+        fresh = F.concat(so_far["done"], gap, F.lit(mark))
+        return F.struct(
+            F.when((s["start"] >= so_far["at"]), fresh).otherwise(so_far["done"]).alias("done"), F.greatest(s["stop"], so_far["at"]).alias("at")
+        )
+
+    end = lambda so_far: F.concat(so_far["done"], F.substring(text, so_far["at"].cast("int") + 1, F.length(text)))
+    return F.when(spans.isNull(), text).otherwise(F.aggregate(spans, zero, step, end))
