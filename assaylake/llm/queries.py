@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assaylake.llm import bpe, decontamination, near_duplicates, quality_rules, secrets
+from assaylake.llm import bpe, decontamination, near_duplicates, quality_rules, repeated_phrases, secrets, suffix_arrays
 from assaylake.llm.oracle import ORACLE  # noqa: F401
 from assaylake.plans.scratch import new_folder
 
@@ -45,6 +45,13 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without words of 50-word passages that also start in a document with a smaller id."""
+    docs = _table(spark, sf_dir, "documents")
+    kept = repeated_phrases.remove_repeated_passages(docs, scratch=new_folder(spark, "phrases"))
+    return kept.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of each text and of the text decoded from them."""
     import public_tokenizers
@@ -74,10 +81,20 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(docs, scratch=new_folder(spark, "minhash"), words=3, percent=85)
 
 
+def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without bytes of 50-byte strings that also start in a document with a smaller id."""
+    docs = _table(spark, sf_dir, "documents")
+    kept = suffix_arrays.remove_repeated_strings(docs, scratch=new_folder(spark, "suffixes"))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return kept.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", n_spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op3_phrases": op3_phrases,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_secrets": op5_secrets,
     "op7_minhash": op7_minhash,
     "op9_quality_rules": op9_quality_rules,
+    "op10_suffix_arrays": op10_suffix_arrays,
 }
