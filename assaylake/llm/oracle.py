@@ -56,3 +56,35 @@ _PATTERNS = {
     "hex": "([0-9a-f]{24,})",
 }
 ORACLE["op5_secrets"] = _SECRETS.replace("{matches}", " UNION ALL ".join(_MATCHES.format(p=p, kind=k) for k, p in _PATTERNS.items()))
+
+# A NULL id counts as larger than all others.
+ORACLE["op3_phrases"] = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS d,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), place AS (SELECT r, d, p, array_to_string(w[p:p + 49], ' ') AS s FROM doc, unnest(range(1, len(w) - 48)) AS t(p)),
+least AS (SELECT s, min(d) AS m FROM place GROUP BY s),
+hit AS (SELECT DISTINCT r, q FROM place JOIN least USING (s), unnest(range(p, p + 50)) AS t(q) WHERE m < d),
+word AS (SELECT r, q, w[q] AS word FROM doc, unnest(range(1, len(w) + 1)) AS t(q)),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY q) AS kept FROM word ANTI JOIN hit USING (r, q) GROUP BY r),
+gone AS (SELECT r, count(*) AS n FROM hit GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM doc LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+"""
+
+ORACLE["op10_suffix_arrays"] = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS d, hex(encode(coalesce(text, ''))) AS h
+    FROM documents
+), place AS (SELECT r, d, p, substring(h, 2 * p + 1, 100) AS s FROM doc, unnest(range(0, length(h) // 2 - 49)) AS t(p)),
+least AS (SELECT s, min(d) AS m FROM place GROUP BY s),
+hit AS (SELECT DISTINCT r, q FROM place JOIN least USING (s), unnest(range(p, p + 50)) AS t(q) WHERE m < d),
+one AS (SELECT r, q, substring(h, 2 * q + 1, 2) AS b FROM doc, unnest(range(0, length(h) // 2)) AS t(q)),
+kept AS (SELECT r, unhex(string_agg(b, '' ORDER BY q)) AS kept FROM one ANTI JOIN hit USING (r, q) GROUP BY r),
+gone AS (SELECT r, count(*) AS n FROM hit GROUP BY r),
+spans AS (SELECT r, count(*) AS n_spans FROM hit AS a WHERE NOT EXISTS (SELECT 1 FROM hit AS b WHERE b.r = a.r AND b.q = a.q - 1) GROUP BY r)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(coalesce(kept, ''::BLOB)) AS kept_sha256
+FROM doc LEFT JOIN gone USING (r) LEFT JOIN kept USING (r) LEFT JOIN spans USING (r)
+"""
