@@ -12,7 +12,7 @@ confirmed on the full sets of 64-bit shingle fingerprints.
    signatures share ``shared`` coordinates. Long lists are skipped, as in skip merging, since what they would
    find is found in short ones. Collisions are counted, and pairs at or above the threshold kept.
 4. Classes whose coordinates are mostly in long lists (members of large groups of near copies) get exact
-   candidates instead: each links first with the smallest class of its lists, and classes still in different
+   candidates instead: each links first with the class that leads most of its lists, and classes still in different
    components are joined on their rarest shingles, with the length and positional bounds of prefix
    filtering. So no group is expanded into all its pairs, and no list is cut.
 5. Pairs are confirmed in two rounds: one or two partners for each class, then only the pairs that still
@@ -149,7 +149,7 @@ class _Search:
         pairs = self.written(pairs, f"{name}-pairs")
         wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
         texts = self.docs.join(wanted, "doc_id", "left_semi")
-        sets = self.written(texts.mapInArrow(_sets(self.k), f"cid {self.kind}, set binary").dropDuplicates(["cid", "set"]), f"{name}-sets")
+        sets = self.written(texts.mapInArrow(_sets(self.k), f"cid {self.kind}, set binary"), f"{name}-sets")
         both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("set_a")), "a").join(
             sets.select(F.col("cid").alias("b"), F.col("set").alias("set_b")), "b"
         )
@@ -203,7 +203,9 @@ class _Search:
             "cid", "coordinate", F.element_at("sig", F.col("coordinate") + 1).alias("value")
         )
         leaders = hot_posts.groupBy("coordinate", "value").agg(F.min("cid").alias("a"))
-        stars = hot_posts.join(leaders, ["coordinate", "value"]).select("a", F.col("cid").alias("b")).where("a < b")
+        led = hot_posts.join(leaders, ["coordinate", "value"]).select("a", F.col("cid").alias("b")).where("a < b")
+        met = led.groupBy("a", "b").agg(F.count("*").alias("n"))
+        stars = met.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
         links = self.confirmed(some.union(stars).distinct(), "first")
         found = self.components(links, "first-components")
         links = links.union(self.confirmed(self.apart(pairs, found), "second"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assaylake.llm import bpe, decontamination, near_duplicates, quality_rules, repeated_phrases, secrets, suffix_arrays
+from assaylake.llm import bpe, decontamination, near_duplicates, quality_rules, repeated_phrases, secrets, suffix_arrays, toxicity
 from assaylake.llm.oracle import ORACLE  # noqa: F401
 from assaylake.plans.scratch import new_folder
 
@@ -75,6 +75,22 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents. Labels of ids whose CRC-32 is a multiple of 5 are held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = lambda id_: F.coalesce(F.crc32(id_.cast("string")) % 5 == 0, F.lit(False))
+    labels = _table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    model = toxicity.train(docs, labels)
+    score = F.col("score")
+    return toxicity.with_scores(docs.select("doc_id", "text", "lang"), model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (score >= 0.5).cast("int").alias("predicted"),
+        toxicity.flagged(score, F.col("lang"), model).alias("flagged_by_language"),
+    )
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicate documents: three-word shingles, similarity of 0.85 or more."""
     docs = _table(spark, sf_dir, "documents")
@@ -94,6 +110,7 @@ QUERIES = {
     "op3_phrases": op3_phrases,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_secrets": op5_secrets,
+    "op6_toxicity": op6_toxicity,
     "op7_minhash": op7_minhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_arrays": op10_suffix_arrays,
