@@ -75,16 +75,25 @@ FROM doc LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
 
 ORACLE["op10_suffix_arrays"] = r"""
 WITH doc AS (
-    SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS d, hex(encode(coalesce(text, ''))) AS h
+    SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS d,
+        regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS b
     FROM documents
-), place AS (SELECT r, d, p, substring(h, 2 * p + 1, 100) AS s FROM doc, unnest(range(0, length(h) // 2 - 49)) AS t(p)),
+), one AS (SELECT r, d, unnest(range(1, len(b) + 1)) AS q, unnest(b) AS x FROM doc),
+s2 AS (SELECT *, x || lead(x) OVER w AS s2 FROM one WINDOW w AS (PARTITION BY r ORDER BY q)),
+s4 AS (SELECT *, s2 || lead(s2, 2) OVER w AS s4 FROM s2 WINDOW w AS (PARTITION BY r ORDER BY q)),
+s8 AS (SELECT *, s4 || lead(s4, 4) OVER w AS s8 FROM s4 WINDOW w AS (PARTITION BY r ORDER BY q)),
+s16 AS (SELECT r, d, q, s2, s8 || lead(s8, 8) OVER w AS s16 FROM s8 WINDOW w AS (PARTITION BY r ORDER BY q)),
+s50 AS (
+    SELECT r, d, q AS p, s16 || lead(s16, 16) OVER w || lead(s16, 32) OVER w || lead(s2, 48) OVER w AS s
+    FROM s16 WINDOW w AS (PARTITION BY r ORDER BY q)
+), place AS (SELECT * FROM s50 WHERE s IS NOT NULL),
 least AS (SELECT s, min(d) AS m FROM place GROUP BY s),
-hit AS (SELECT DISTINCT r, q FROM place JOIN least USING (s), unnest(range(p, p + 50)) AS t(q) WHERE m < d),
-one AS (SELECT r, q, substring(h, 2 * q + 1, 2) AS b FROM doc, unnest(range(0, length(h) // 2)) AS t(q)),
-kept AS (SELECT r, unhex(string_agg(b, '' ORDER BY q)) AS kept FROM one ANTI JOIN hit USING (r, q) GROUP BY r),
-gone AS (SELECT r, count(*) AS n FROM hit GROUP BY r),
-spans AS (SELECT r, count(*) AS n_spans FROM hit AS a WHERE NOT EXISTS (SELECT 1 FROM hit AS b WHERE b.r = a.r AND b.q = a.q - 1) GROUP BY r)
-SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+start AS (SELECT r, p FROM place JOIN least USING (s) WHERE m < d),
+hit AS (SELECT DISTINCT r, q FROM start, unnest(range(p, p + 50)) AS t(q)),
+kept AS (SELECT r, unhex(string_agg(x, '' ORDER BY q)) AS kept FROM one ANTI JOIN hit USING (r, q) GROUP BY r),
+ordered AS (SELECT r, q, lag(q) OVER (PARTITION BY r ORDER BY q) AS before FROM hit),
+gone AS (SELECT r, count(*) AS n, count(*) FILTER (before IS NULL OR before < q - 1) AS n_spans FROM ordered GROUP BY r)
+SELECT doc_id, len(b)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
     sha256(coalesce(kept, ''::BLOB)) AS kept_sha256
-FROM doc LEFT JOIN gone USING (r) LEFT JOIN kept USING (r) LEFT JOIN spans USING (r)
+FROM doc LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
 """
