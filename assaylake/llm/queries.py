@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assaylake.llm import bpe, decontamination, near_duplicates, quality_rules, repeated_phrases, secrets, suffix_arrays, toxicity
+from assaylake.llm import bpe, decontamination, licenses, near_duplicates, quality_rules, repeated_phrases, secrets, suffix_arrays, token_counts, toxicity
 from assaylake.llm.oracle import ORACLE  # noqa: F401
 from assaylake.plans.scratch import new_folder
 
@@ -13,6 +13,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses of every document, its path being source/lang/doc_id. A document made up mostly of notices is the
+    licence file of its directory."""
+    docs = _table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    files = docs.select(path.alias("path"), "text")
+    found = licenses.scan(files, licenses.notices(spark), scratch=new_folder(spark, "licenses"))
+    return found.select(
+        F.regexp_extract("path", "[^/]*$", 0).cast("long").alias("doc_id"),
+        F.array_join("own.license", ",").alias("own_licenses"),
+        F.try_element_at("own.score", F.lit(1)).alias("best_score"),
+        "licence_file",
+        "inherited_from",
+        F.array_join("licenses", ",").alias("licenses"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every text, the base rule, and the verdict of a decision list learned from ``labels``."""
     scratch = new_folder(spark, "quality")
@@ -31,6 +48,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and tokens of every document under the pieces of a public vocabulary."""
+    import public_tokenizers
+
+    lexicon = token_counts.zipf_lexicon(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.with_token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"), lexicon)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie inside benchmark windows, and the items these come from."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,12 +131,14 @@ def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op3_phrases": op3_phrases,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
     "op7_minhash": op7_minhash,
+    "op8_licenses": op8_licenses,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_arrays": op10_suffix_arrays,
 }
