@@ -322,17 +322,19 @@ def _decode(file: str, ids: str):
     return run
 
 
-def encode(docs: DataFrame, file: str, *, text: str = "text", ids: str = "ids", n_tokens: str = "n_tokens") -> DataFrame:
+def encode(
+    docs: DataFrame, file: str, *, text: str = "text", ids: str = "ids", n_tokens: str = "n_tokens", keep_text: bool = True
+) -> DataFrame:
     """``docs`` with the ids of each text (little-endian unsigned 32-bit numbers, as bytes) and their number.
     ``file`` must be there on every executor. A column of one of those names is replaced."""
-    out = docs.drop(*({ids, n_tokens} - {text})).withColumn("_text", F.col(text).cast("string"))
+    out = docs.withColumn("_text", F.col(text).cast("string")).drop(ids, n_tokens, *([] if keep_text else [text]))
     shape = T.StructType([f for f in out.schema if f.name != "_text"]).add("_n_tokens", T.LongType()).add("_ids", T.BinaryType())
     return out.mapInArrow(_encode(file, "_text"), shape).withColumnsRenamed({"_n_tokens": n_tokens, "_ids": ids})
 
 
-def decode(encoded: DataFrame, file: str, *, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``encoded`` with the text that its ids stand for; the ids stay. A column of that name is replaced."""
-    out = encoded.drop(*({text} - {ids})).withColumn("_ids", F.col(ids))
+def decode(encoded: DataFrame, file: str, *, ids: str = "ids", text: str = "decoded", keep_ids: bool = True) -> DataFrame:
+    """``encoded`` with the text that its ids stand for. A column of that name is replaced."""
+    out = encoded.withColumn("_ids", F.col(ids)).drop(text, *([] if keep_ids else [ids]))
     shape = T.StructType([f for f in out.schema if f.name != "_ids"]).add("_decoded", T.StringType())
     return out.mapInArrow(_decode(file, "_ids"), shape).withColumnRenamed("_decoded", text)
 

@@ -53,7 +53,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     lexicon = token_counts.zipf_lexicon(public_tokenizers.path("piece_bpe_32k.model"))
-    return token_counts.with_token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"), lexicon)
+    return token_counts.with_token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"), lexicon, keep_text=False)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,8 +82,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     file = public_tokenizers.path("byte_bpe_50k.json")
-    ids = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), file)
-    decoded = bpe.decode(ids.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids"), file)
+    ids = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), file, keep_text=False)
+    decoded = bpe.decode(ids.withColumn("ids_sha256", F.sha2("ids", 256)), file, keep_ids=False)
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -107,7 +107,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
     model = toxicity.train(docs, labels)
     score = F.col("score")
-    return toxicity.with_scores(docs.select("doc_id", "text", "lang"), model).select(
+    return toxicity.with_scores(docs, model, keep_text=False).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "score",

@@ -172,9 +172,11 @@ def _count(lexicon: Lexicon, text: str):
     return run
 
 
-def with_token_counts(docs: DataFrame, lexicon: Lexicon, *, text: str = "text", n_words: str = "n_words", n_tokens: str = "n_tokens") -> DataFrame:
+def with_token_counts(
+    docs: DataFrame, lexicon: Lexicon, *, text: str = "text", n_words: str = "n_words", n_tokens: str = "n_tokens", keep_text: bool = True
+) -> DataFrame:
     """``docs`` with the number of words and of tokens of each text. Columns of those names are replaced. The
     lexicon goes to the tasks with the code; its size is that of its file."""
-    out = docs.drop(*({n_words, n_tokens} - {text})).withColumn("_text", F.col(text).cast("string"))
+    out = docs.withColumn("_text", F.col(text).cast("string")).drop(n_words, n_tokens, *([] if keep_text else [text]))
     shape = T.StructType([f for f in out.schema if f.name != "_text"]).add("_n_words", T.LongType()).add("_n_tokens", T.LongType())
     return out.mapInArrow(_count(lexicon, "_text"), shape).withColumnsRenamed({"_n_words": n_words, "_n_tokens": n_tokens})

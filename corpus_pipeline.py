@@ -70,7 +70,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     file = public_tokenizers.path("byte_bpe_50k.json")
     source = docs.select("doc_id", "lang", "source", "text", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_original"))
-    ids = bpe.encode(source, file).drop("text")
+    ids = bpe.encode(source, file, keep_text=False)
     whole = bpe.decode(ids, file)
     return whole.select("doc_id", "lang", "source", "n_tokens", "ids", (F.col("decoded") == F.col("_original")).alias("round_trip"))
 
