@@ -15,9 +15,14 @@ def value_counts(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy(column).agg(F.count(F.lit(1)).alias("records"))
 
 
+def key_counts(rows: DataFrame, key: Sequence[str] = S.TRANSACTION_KEY) -> DataFrame:
+    """Keys with their row counts. Copies combine before the shuffle."""
+    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
+
+
 def repeated_keys(rows: DataFrame, key: Sequence[str] = S.TRANSACTION_KEY) -> DataFrame:
-    """Keys held by more than one row, with their row counts. Copies combine before the shuffle."""
-    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
+    """Keys held by more than one row, with their row counts."""
+    return key_counts(rows, key).filter(F.col("copies") > 1)
 
 
 def count_repeated_keys(rows: DataFrame, key: Sequence[str] = S.TRANSACTION_KEY) -> DataFrame:

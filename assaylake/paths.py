@@ -18,6 +18,11 @@ class LakePaths:
     def bronze(self) -> str:
         return self._below("bronze", "fraud_credit")
 
+    @property
+    def bronze_rejects(self) -> str:
+        """Lines of the source that don't fit its header, as they are."""
+        return self._below("bronze", "fraud_credit_rejects")
+
     @property
     def silver(self) -> str:
         return self._below("silver", "fraud_credit")

@@ -9,8 +9,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.operators import cleaning, marts, profile
+from assaylake.operators import cleaning, marts
 from assaylake.paths import LakePaths
+from assaylake.plans.scratch import new_folder
 from assaylake.plans.sizing import shuffle_sized_for
 from assaylake.quality import engine, report
 from assaylake.session import pin_utc
@@ -26,15 +27,30 @@ def _counted(rows: DataFrame, write) -> int:
     """
     seen = Observation()
     write(rows.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return int(seen.get.get("rows", 0))
+    if "rows" not in seen.get:
+        raise RuntimeError("the stage that wrote has not reported its row count")
+    return int(seen.get["rows"])
 
 
 def land_bronze(spark: SparkSession, source: str, paths: LakePaths, multi_line: bool = False) -> int:
-    """Copy a CSV source into bronze, replacing what was there. A missing source raises."""
-    rows = files.scan_csv(spark, source, multi_line)
+    """Copy a CSV source into bronze, replacing what was there; returns the number of its records. A missing
+    source raises. Records that don't fit the header, which CSV columns can't hold, go to ``bronze_rejects``
+    with their complete text (``land_rejects``)."""
+    rows = files.scan_csv_whole(spark, source, multi_line).filter(F.col(files.CORRUPT).isNull()).drop(files.CORRUPT)
     return _counted(rows, lambda observed: files.write_csv(observed, paths.bronze))
 
 
+def land_rejects(spark: SparkSession, source: str, paths: LakePaths, multi_line: bool = False) -> int:
+    """The records that ``land_bronze`` leaves out, as text; returns their number. It scans the source again."""
+    rows = files.scan_csv_whole(spark, source, multi_line)
+    # Spark finds misfits only in columns it reads, so all of them stay in the scan: the length of their array,
+    # which is never 0, is part of the result
+    fields = F.array(*(F.col(f"`{c}`") for c in rows.columns if c != files.CORRUPT))
+    misfit = rows.filter(F.col(files.CORRUPT).isNotNull())
+    lines = misfit.select(F.concat(files.CORRUPT, F.array_join(F.slice(fields, 1, 0), "")).alias("value"))
+    return _counted(lines, lambda observed: files.write_text(observed, paths.bronze_rejects))
+
+
 def build_silver(
     spark: SparkSession, paths: LakePaths, loaded_at: datetime | None = None, multi_line: bool = False
 ) -> int:
@@ -53,17 +69,23 @@ def check_quality(
     """Check Silver and write the report; returns it as a dict.
 
     Failed checks are reported and do not stop anything unless ``fail_on_error`` is set. An empty
-    Silver raises. Both distributions are also written as tables, as the report holds a distribution
-    only when it has few values.
+    Silver raises. The columns and types checked are those of the stored files; for the rules on values, columns
+    of another type are read as the declared one, and what can't be read so is NULL. Silver is read twice: once for
+    facts, which are written and give totals, samples and the tables of both whole distributions, and once for
+    keys.
     """
     pin_utc(spark)
-    silver = cleaning.normalise_again(files.scan_silver(spark, paths.silver))
-    if silver.isEmpty():
-        raise ValueError("quality check refused: the silver layer is empty")
+    stored = files.scan_silver_as_stored(spark, paths.silver)
+    silver = cleaning.normalise_again(cleaning.as_declared(stored))
     with shuffle_sized_for(spark, files.folder_bytes(spark, paths.silver)):
-        files.write_line(report.report(engine.run_suite(silver), run_at), paths.quality_report)
-        for column in ("anomaly", "location_region"):
-            files.write_table(profile.value_counts(silver, column), paths.quality_table(column))
+        folder = new_folder(spark, "facts") + "/counted"
+        files.write_table(engine.all_facts(silver), folder)
+        counted = spark.read.parquet(folder)
+        if counted.isEmpty():
+            raise ValueError("quality check refused: the silver layer is empty")
+        files.write_line(report.report(engine.run_suite(silver, counted, stored.schema), run_at), paths.quality_report)
+        for column in engine.DISTRIBUTIONS:
+            files.write_table(engine.distribution(counted, column), paths.quality_table(column))
     written = json.loads(spark.read.text(paths.quality_report).first()[0])
     if fail_on_error and not written["overall_success"]:
         raise ValueError(f"quality check failed: see {paths.quality_report}")
@@ -83,6 +105,7 @@ def build_gold(spark: SparkSession, paths: LakePaths) -> None:
 @dataclass(frozen=True)
 class RunSummary:
     bronze_rows: int
+    bronze_rejects: int
     silver_rows: int
     quality: dict
 
@@ -94,10 +117,12 @@ def run_lake(
     *,
     loaded_at: datetime | None = None,
     fail_on_error: bool = False,
+    multi_line: bool = False,
 ) -> RunSummary:
-    """Bronze, Silver, quality, Gold, in this order."""
-    bronze_rows = land_bronze(spark, source, paths)
-    silver_rows = build_silver(spark, paths, loaded_at)
+    """Bronze, Silver, quality, Gold, in this order. ``multi_line`` is for sources with quoted line breaks."""
+    bronze_rows = land_bronze(spark, source, paths, multi_line)
+    bronze_rejects = land_rejects(spark, source, paths, multi_line)
+    silver_rows = build_silver(spark, paths, loaded_at, multi_line)
     quality = check_quality(spark, paths, fail_on_error=fail_on_error)
     build_gold(spark, paths)
-    return RunSummary(bronze_rows, silver_rows, quality)
+    return RunSummary(bronze_rows, bronze_rejects, silver_rows, quality)

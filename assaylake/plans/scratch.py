@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,16 +10,10 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for intermediate data. A local session may go without one and
-    then gets a temporary folder; on a cluster that would be out of the executors' reach."""
+    """The folder the cluster names for intermediate data; where none is named, one below the warehouse,
+    which all executors share as well."""
     named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="assaylake-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch").rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -13,19 +13,22 @@ _PARTITIONS = "spark.sql.shuffle.partitions"
 # but cannot split what was planned too large, so the plan starts with enough of them.
 BYTES_PER_PARTITION = 256 * 1024**2
 
-# Beyond this count the bookkeeping of map outputs costs more than larger partitions do, which spill.
-MOST_PARTITIONS = 40_000
+# Session setting: the most shuffle partitions a job may plan. Unset means no limit. A driver with little
+# memory may need one, as it keeps the sizes of all map outputs; partitions then get larger and spill.
+MOST_PARTITIONS = "assaylake.shuffle.mostPartitions"
 
 
-def partitions_for(input_bytes: int, at_least: int) -> int:
-    return max(at_least, min(MOST_PARTITIONS, -(-input_bytes // BYTES_PER_PARTITION)))
+def partitions_for(input_bytes: int, at_least: int, most: int | None = None) -> int:
+    wanted = -(-input_bytes // BYTES_PER_PARTITION)
+    return max(at_least, wanted if most is None else min(most, wanted))
 
 
 @contextmanager
 def shuffle_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Raise the number of shuffle partitions to suit an input; never lower what the session has."""
     before = spark.conf.get(_PARTITIONS)
-    spark.conf.set(_PARTITIONS, partitions_for(input_bytes, int(before)))
+    most = spark.conf.get(MOST_PARTITIONS, None)
+    spark.conf.set(_PARTITIONS, partitions_for(input_bytes, int(before), int(most) if most else None))
     try:
         yield
     finally:

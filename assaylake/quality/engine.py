@@ -10,8 +10,9 @@ Pass two counts rows by transaction key, again combined in each task first.
 Both passes end in *findings*, one row for each fact name, of which there are a few dozen however
 large the table is:
 
-    fact, n (rows), n_values (distinct values), n_outside (distinct values outside the domain),
-    top (its most frequent values with their counts, at most ``TOP_VALUES``)
+    fact, n (rows), n_values (distinct values), n_outside (distinct regions outside the domain),
+    inside (rows of each value of a domain, and of blank and NULL), outside (rows and distinct values of all
+    others), top (its most frequent values with their counts, at most ``TOP_VALUES``)
 
 Expressions are SQL text: one parse builds what would take hundreds of calls from Python to the JVM.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assaylake import schemas as S
-from assaylake.operators.profile import repeated_keys
+from assaylake.operators.profile import key_counts, repeated_keys
 from assaylake.quality import rules as R
 
 ANOMALIES = "values:anomaly"
@@ -33,16 +34,41 @@ REGIONS = "values:location_region"
 ROWS = "rows"
 KEY_SAMPLES = 10
 
-# Values kept for each fact. Enough for every sample list (10 or 20), and for whole distributions
-# of up to this many values; larger ones are only written as a table. It stays below Spark's own
-# threshold for limiting ranked groups before the shuffle (1000).
-TOP_VALUES = 500
+# Values kept for each fact: those of the longest sample list.
+TOP_VALUES = 20
+
+# The columns whose distributions are reported, with their facts and domains.
+DISTRIBUTIONS = {
+    "anomaly": (ANOMALIES, S.ANOMALY_LEVELS),
+    "location_region": (REGIONS, S.LOCATION_REGIONS),
+}
 
 _TOP = "array<struct<value:string,n:bigint>>"
-_FINDING = {"fact": "string", "n": "bigint", "n_values": "bigint", "n_outside": "bigint", "top": _TOP}
+_OUTSIDE = "struct<records:bigint,distinct_values:bigint>"
+_FINDING = {
+    "fact": "string",
+    "n": "bigint",
+    "n_values": "bigint",
+    "n_outside": "bigint",
+    "inside": _TOP,
+    "outside": _OUTSIDE,
+    "top": _TOP,
+}
 _FOREIGN_REGION = "NOT IN " + R.text_list(S.LOCATION_REGIONS)
 
 
+# Values of the distributions that are shown by name: those of the domains, blank ones and NULL. There are a
+# few dozen, so that they fit in one row whatever the table holds.
+_BLANK_VALUE = f"value RLIKE {R.literal(R.BLANK)}"
+_IN_DOMAIN = "(CASE fact {} ELSE false END)".format(
+    " ".join(
+        f"WHEN '{fact}' THEN value IS NULL OR {_BLANK_VALUE} OR value IN {R.text_list(domain)}"
+        for fact, domain in DISTRIBUTIONS.values()
+    )
+)
+_SHOWN = f"CASE WHEN value IS NULL THEN 'null' WHEN {_BLANK_VALUE} THEN 'blank' ELSE value END"
+
+
 def _as_findings(found: DataFrame) -> DataFrame:
     """Fill the columns a finding lacks with NULL, for a union by position."""
     return found.selectExpr(
@@ -51,16 +77,18 @@ def _as_findings(found: DataFrame) -> DataFrame:
 
 
 def _fact(name: str, column: str) -> str:
-    return f"named_struct('fact', '{name}', 'value', CAST(`{column}` AS STRING))"
+    return f"named_struct('fact', {R.literal(name)}, 'value', CAST(`{column}` AS STRING))"
 
 
 def facts(rows: DataFrame, row_rules: Iterable[R.RowRule]) -> DataFrame:
-    """(fact, value, n): how many rows state each fact. Rules on absent columns state none."""
-    stated = [_fact(ANOMALIES, "anomaly"), _fact(REGIONS, "location_region")]
+    """(fact, value, n): how many rows state each fact. Every row states one without a value, which counts
+    the rows. Rules and distributions of absent columns state none."""
+    stated = [f"named_struct('fact', '{ROWS}', 'value', CAST(NULL AS STRING))"]
+    stated += [_fact(fact, column) for column, (fact, _) in DISTRIBUTIONS.items() if column in rows.columns]
     stated += [
         f"CASE WHEN {rule.breaks} THEN {_fact(rule.name, rule.column)} END"
         for rule in row_rules
-        if rule.column in rows.columns
+        if rule.fits(rows.columns)
     ]
     return (
         rows.selectExpr(f"explode(array({', '.join(stated)})) AS stated")
@@ -84,6 +112,11 @@ def summarise(counted: DataFrame) -> DataFrame:
         F.expr("sum(n) AS n"),
         F.expr("count(value) AS n_values"),
         F.expr(f"count_if(value {_FOREIGN_REGION}) AS n_outside"),
+        F.expr(f"collect_list(CASE WHEN {_IN_DOMAIN} THEN struct({_SHOWN} AS value, n) END) AS inside"),
+        F.expr(
+            f"struct(coalesce(sum(CASE WHEN NOT {_IN_DOMAIN} THEN n END), 0) AS records, "
+            f"count_if(NOT {_IN_DOMAIN}) AS distinct_values) AS outside"
+        ),
     )
     tops = (
         counted.selectExpr("*", "row_number() OVER (PARTITION BY fact ORDER BY n DESC, value ASC) AS place")
@@ -102,7 +135,18 @@ def _in_order(place: str) -> str:
 
 def row_findings(rows: DataFrame) -> DataFrame:
     """Pass one: all row rules, with values."""
-    return summarise(facts(rows, (*R.ROW_RULES, *R.CONDITIONAL_RULES)))
+    return summarise(all_facts(rows))
+
+
+def all_facts(rows: DataFrame) -> DataFrame:
+    """The facts of the whole suite, counted."""
+    return facts(rows, (*R.ROW_RULES, *R.CONDITIONAL_RULES))
+
+
+def distribution(counted: DataFrame, column: str) -> DataFrame:
+    """(value of the column, records) of every value, from facts."""
+    fact, _ = DISTRIBUTIONS[column]
+    return counted.where(F.col("fact") == fact).select(F.col("value").alias(column), F.col("n").alias("records"))
 
 
 def row_counts(rows: DataFrame, row_rules: Iterable[R.RowRule]) -> DataFrame:
@@ -111,7 +155,7 @@ def row_counts(rows: DataFrame, row_rules: Iterable[R.RowRule]) -> DataFrame:
     Cheaper than ``row_findings`` when only some rules are asked for and no samples. The NULLs of
     every tested column are counted as well, as they decide how many values a rule tested.
     """
-    wanted = {rule.name: rule for rule in row_rules if rule.column in rows.columns}
+    wanted = {rule.name: rule for rule in row_rules if rule.fits(rows.columns)}
     for rule in list(wanted.values()):
         wanted.setdefault(f"not_null:{rule.column}", R.not_null(rule.column))
     one_row = rows.selectExpr(
@@ -135,7 +179,7 @@ def distinct_regions(rows: DataFrame) -> DataFrame:
 
 
 def key_findings(rows: DataFrame) -> DataFrame:
-    """Pass two: the rows in repeated transaction keys (``n``), the number of such keys
+    """Pass two: all rows, the rows in repeated transaction keys (``n``), the number of such keys
     (``n_values``) and the most repeated ones. NULLs are equal here, as in any grouping.
 
     Only repeated keys go on after the count. Their own small shuffle is there to be reused: counts
@@ -152,7 +196,8 @@ def key_findings(rows: DataFrame) -> DataFrame:
         .limit(KEY_SAMPLES)
         .selectExpr(name, f"{_in_order('-n')} AS top")
     )
-    return _as_findings(counts).unionByName(_as_findings(top))
+    rows_of_keys = key_counts(rows).selectExpr(f"'{ROWS}' AS fact", "copies AS n").groupBy("fact").agg(F.expr("sum(n) AS n"))
+    return _as_findings(counts).unionByName(_as_findings(top)).unionByName(_as_findings(rows_of_keys))
 
 
 def gather(*found: DataFrame) -> DataFrame:
@@ -161,11 +206,13 @@ def gather(*found: DataFrame) -> DataFrame:
     for more in found[1:]:
         union = union.unionByName(more)
     parts = ("n", "n_values", "n_outside")
+    lists = ("inside", "outside", "top")
     merged = union.groupBy("fact").agg(
-        *(F.expr(f"max({part}) AS {part}") for part in parts), F.expr("first(top, true) AS top")
+        *(F.expr(f"max({part}) AS {part}") for part in parts),
+        *(F.expr(f"first({part}, true) AS {part}") for part in lists),
     )
     return merged.selectExpr(
-        f"map_from_entries(collect_list(struct(fact, struct({', '.join(parts)}, top)))) AS found"
+        f"map_from_entries(collect_list(struct(fact, struct({', '.join((*parts, *lists))})))) AS found"
     )
 
 
@@ -174,8 +221,8 @@ def found(fact: str, part: str) -> str:
     return f"coalesce(try_element_at(found, {fact}).{part}, 0)"
 
 
-# Rows of the table, from either kind of pass: every row states one anomaly fact.
-TOTAL_ROWS = f"greatest({found(f"'{ROWS}'", 'n')}, {found(f"'{ANOMALIES}'", 'n')})"
+# Rows of the table, from either kind of pass.
+TOTAL_ROWS = found(f"'{ROWS}'", "n")
 
 
 def _check(name: str, kind: str, column: str | None, samples: int = 0, held: bool | None = None) -> str:
@@ -191,7 +238,7 @@ def _check(name: str, kind: str, column: str | None, samples: int = 0, held: boo
 def row_checks(rules: Iterable[R.RowRule], columns: Sequence[str]) -> list[str]:
     """A check on an absent column fails and counts nothing."""
     return [
-        _check(r.name, r.kind, r.column, r.samples, None if r.column in columns else False) for r in rules
+        _check(r.name, r.kind, r.column, r.samples, None if r.fits(columns) else False) for r in rules
     ]
 
 
@@ -266,16 +313,18 @@ def result_rows(judged: DataFrame, name: str = "suite") -> DataFrame:
     return judged.selectExpr(f"inline({name})").drop("samples")
 
 
-def all_findings(rows: DataFrame) -> DataFrame:
-    """Both passes, gathered in one row."""
+def all_findings(rows: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Both passes, gathered in one row. ``counted`` are the table's facts, if they are there already."""
+    first = row_findings(rows) if counted is None else summarise(counted)
     if set(S.TRANSACTION_KEY) <= set(rows.columns):
-        return gather(row_findings(rows), key_findings(rows))
-    return gather(row_findings(rows))
+        return gather(first, key_findings(rows))
+    return gather(first)
 
 
-def run_suite(rows: DataFrame) -> DataFrame:
-    """Both passes and all checks: one row with ``found``, ``suite`` and ``conditional``."""
-    judged = judge(all_findings(rows), suite_checks(rows.schema))
+def run_suite(rows: DataFrame, counted: DataFrame | None = None, stored: T.StructType | None = None) -> DataFrame:
+    """Both passes and all checks: one row with ``found``, ``suite`` and ``conditional``. ``stored`` is the schema
+    that the checks on columns and types judge, if it isn't that of ``rows``."""
+    judged = judge(all_findings(rows, counted), suite_checks(stored or rows.schema))
     return judge(judged, row_checks(R.CONDITIONAL_RULES, rows.columns), "conditional")
 
 
@@ -288,7 +337,8 @@ def run_distinct_check(rows: DataFrame) -> DataFrame:
 
 
 def run_unique_check(rows: DataFrame) -> DataFrame:
-    findings = gather(row_counts(rows, ()), key_findings(rows))
+    complete = set(S.TRANSACTION_KEY) <= set(rows.columns)
+    findings = gather(key_findings(rows) if complete else row_counts(rows, ()))
     return result_rows(judge(findings, [unique_check(rows.columns)]))
 
 

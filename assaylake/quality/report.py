@@ -91,21 +91,18 @@ def _conditional_failures() -> str:
     return f"named_struct({', '.join(made)})"
 
 
-def _distribution(fact: str) -> str:
-    """All values of a column with their counts, as a map. NULLs count under the key ``null``.
+def _distribution(column: str) -> str:
+    """Rows of each value of the domain, of blank values and of NULL, and of all other values together; the
+    same fields for a table of any size. Their counts add up to the table's rows."""
+    fact, domain = E.DISTRIBUTIONS[column]
+    finding = f"try_element_at(found, '{fact}')"
 
-    NULL when the column has more values than one row should hold: the table written beside the
-    report then has them all.
-    """
-    found = f"try_element_at(found, '{fact}')"
-    top = f"transform({found}.top, x -> struct(coalesce(x.value, 'null') AS value, x.n AS n))"
+    def rows(shown: str) -> str:
+        return f"aggregate(coalesce({finding}.inside, array()), 0L, (t, x) -> t + if(x.value = {R.literal(shown)}, x.n, 0L))"
 
-    def total(values: str) -> str:
-        return f"aggregate({values}, 0L, (held, x) -> held + x.n)"
-
-    keys = f"array_distinct(transform({top}, x -> x.value))"
-    counts = f"transform({keys}, key -> {total(f'filter({top}, y -> y.value = key)')})"
-    return f"if({total(top)} = {found}.n, map_from_arrays({keys}, {counts}), NULL)"
+    named = ", ".join(f"{R.literal(value)}, {rows(value)}" for value in (*domain, "blank", "null"))
+    outside = ", ".join(f"'{part}', coalesce({finding}.outside.{part}, 0L)" for part in ("records", "distinct_values"))
+    return f"named_struct({named}, 'outside_domain', named_struct({outside}))"
 
 
 def report(judged: DataFrame, run_at: datetime | None = None) -> DataFrame:
@@ -121,8 +118,8 @@ def report(judged: DataFrame, run_at: datetime | None = None) -> DataFrame:
         "failed_expectations": _failures(),
         "conditional_failures": _conditional_failures(),
         "duplicate_count": E.found(f"'{R.UNIQUE_KEY}'", "n_values"),
-        "anomaly_distribution": _distribution(E.ANOMALIES),
-        "location_region_distribution": _distribution(E.REGIONS),
+        "anomaly_distribution": _distribution("anomaly"),
+        "location_region_distribution": _distribution("location_region"),
         "allowed_location_regions": f"array{R.text_list(S.LOCATION_REGIONS)}",
     }
     body = ", ".join(f"'{name}', {part}" for name, part in parts.items())

@@ -16,13 +16,18 @@ from assaylake import schemas as S
 
 @dataclass(frozen=True)
 class RowRule:
-    """A rule that looks at one row at a time. ``column`` holds the tested value."""
+    """A rule that looks at one row at a time. ``column`` holds the tested value; ``breaks`` may read another
+    column as well, named in ``given``."""
 
     name: str
     kind: str
     column: str
     breaks: str
     samples: int = 10
+    given: str | None = None
+
+    def fits(self, columns: Sequence[str]) -> bool:
+        return self.column in columns and (self.given is None or self.given in columns)
 
 
 @dataclass(frozen=True)
@@ -35,9 +40,14 @@ class TypeRule:
     expected: type[T.DataType]
 
 
+def literal(value: str) -> str:
+    """A SQL string literal, whatever the value holds."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def text_list(values: Sequence[str]) -> str:
     """SQL list of string literals."""
-    return "(" + ", ".join(f"'{value}'" for value in values) + ")"
+    return "(" + ", ".join(map(literal, values)) + ")"
 
 
 def not_null(column: str) -> RowRule:
@@ -59,15 +69,15 @@ def has_length(column: str, n: int) -> RowRule:
 
 
 def matches(column: str, pattern: str) -> RowRule:
-    return RowRule(f"regex:{column}", "regex", column, f"NOT `{column}` RLIKE r'{pattern}'")
+    return RowRule(f"regex:{column}", "regex", column, f"NOT `{column}` RLIKE {literal(pattern)}")
 
 
 def not_matching(name: str, column: str, pattern: str) -> RowRule:
-    return RowRule(name, "not_regex", column, f"`{column}` RLIKE r'{pattern}'")
+    return RowRule(name, "not_regex", column, f"`{column}` RLIKE {literal(pattern)}")
 
 
-def conditional(name: str, column: str, breaks: str) -> RowRule:
-    return RowRule(f"cond:{name}", "conditional", column, breaks, samples=20)
+def conditional(name: str, column: str, breaks: str, given: str | None = None) -> RowRule:
+    return RowRule(f"cond:{name}", "conditional", column, breaks, samples=20, given=given)
 
 
 # ---- Fixed values: patterns and lengths of the transaction data ----
@@ -116,12 +126,13 @@ CONDITIONAL_RULES: tuple[RowRule, ...] = (
         "transfer_purchase_pattern",
         "purchase_pattern",
         "transaction_type = 'transfer' AND purchase_pattern <> 'none'",
+        given="transaction_type",
     ),
-    conditional("transfer_age_group", "age_group", "transaction_type = 'transfer' AND age_group <> 'none'"),
-    conditional("high_risk", "risk_score", "anomaly = 'high_risk' AND (risk_score < 70 OR risk_score > 100)"),
+    conditional("transfer_age_group", "age_group", "transaction_type = 'transfer' AND age_group <> 'none'", "transaction_type"),
+    conditional("high_risk", "risk_score", "anomaly = 'high_risk' AND (risk_score < 70 OR risk_score > 100)", "anomaly"),
     conditional(
-        "moderate_risk", "risk_score", "anomaly = 'moderate_risk' AND (risk_score < 40 OR risk_score >= 70)"
+        "moderate_risk", "risk_score", "anomaly = 'moderate_risk' AND (risk_score < 40 OR risk_score >= 70)", "anomaly"
     ),
-    conditional("low_risk", "risk_score", "anomaly = 'low_risk' AND (risk_score < 0 OR risk_score >= 40)"),
+    conditional("low_risk", "risk_score", "anomaly = 'low_risk' AND (risk_score < 0 OR risk_score >= 40)", "anomaly"),
     conditional("region_domain", "location_region", f"location_region NOT IN {text_list(S.LOCATION_REGIONS)}"),
 )

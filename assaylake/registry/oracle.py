@@ -284,7 +284,7 @@ _VERDICT = (
 )
 
 
-def _fields() -> str:
+def _field_values() -> dict[str, str]:
     names = {
         "cond:transfer_purchase_pattern": "transfer_purchase_pattern_none_rule",
         "cond:transfer_age_group": "transfer_age_group_none_rule",
@@ -308,14 +308,64 @@ def _fields() -> str:
         fields[f"conditional_failures.{name}.invalid_count"] = (
             f"(SELECT unexpected_count FROM conditional WHERE rule = '{rule}')"
         )
+    return fields
+
+
+def _rows_of(fields: dict[str, str], name: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{f}' AS {name}, CAST({e} AS VARCHAR) AS value" for f, e in fields.items())
+
+
+def _leaves() -> str:
+    fields = _field_values()
+    for column, domain in (("anomaly", S.ANOMALY_LEVELS), ("location_region", S.LOCATION_REGIONS)):
+        at = f"{column}_distribution"
+        listed = ", ".join(f"'{value}'" for value in domain)
+        blank = rf"regexp_full_match({column}, '\s*')"
+        for value in domain:
+            fields[f"{at}.{value}"] = f"(SELECT count(*) FROM silver WHERE {column} = '{value}')"
+        fields[f"{at}.blank"] = f"(SELECT count(*) FROM silver WHERE {blank})"
+        fields[f"{at}.null"] = f"(SELECT count(*) FROM silver WHERE {column} IS NULL)"
+        others = f"FROM silver WHERE {column} NOT IN ({listed}) AND NOT {blank}"
+        fields[f"{at}.outside_domain.records"] = f"(SELECT count(*) {others})"
+        fields[f"{at}.outside_domain.distinct_values"] = f"(SELECT count(DISTINCT {column}) {others})"
+    for i, region in enumerate(S.LOCATION_REGIONS):
+        fields[f"allowed_location_regions[{i}]"] = f"'{region}'"
+    sampled = " UNION ALL ".join(
+        f"SELECT 'conditional_failures.{name}.sample_values[' || (place - 1) || ']', coalesce(value, 'NULL') FROM samples WHERE rule = '{rule}'"
+        for rule, name in {
+            "cond:transfer_purchase_pattern": "transfer_purchase_pattern_none_rule",
+            "cond:transfer_age_group": "transfer_age_group_none_rule",
+            "cond:region_domain": "location_region_domain_rule",
+        }.items()
+    )
+    failed = f"""failed AS (SELECT concat_ws('.', 'failed_expectations', {_EXPECTATION}, "column") AS path, rule,
+      CASE WHEN kind = 'distinct_in_set' THEN 0 ELSE unexpected_count END AS n,
+      CASE WHEN kind = 'distinct_in_set' THEN 0 ELSE unexpected_percent END AS share FROM results WHERE NOT success)"""
+    lists = """SELECT path || '.unexpected_count', CAST(n AS VARCHAR) FROM failed
+      UNION ALL SELECT path || '.unexpected_percent', CAST(CAST(round(share, 6) AS DECIMAL(20,6)) AS VARCHAR) FROM failed
+      UNION ALL SELECT path || '[' || (place - 1) || ']', coalesce(value, 'NULL') FROM failed JOIN samples USING (rule)"""
+    samples = _samples("silver", [*_ROW_RULES, *_CONDITIONAL])
+    head = _VERDICT.rstrip() + ", " + samples + ", " + failed + " "
+    return _sql(head + _rows_of(fields, "path") + " UNION ALL " + sampled + " UNION ALL " + lists)
+
+
+def _fields() -> str:
+    fields = _field_values()
     for level in S.ANOMALY_LEVELS:
         fields[f"anomaly_distribution.{level}"] = f"(SELECT count(*) FROM silver WHERE anomaly = '{level}')"
-    for region in ("Africa", "Asia", "North America", "None"):
+    for region in ("Africa", "Asia", "North America"):
         fields[f"location_region_distribution.{region}"] = (
             f"(SELECT count(*) FROM silver WHERE location_region = '{region}')"
         )
-    rows = " UNION ALL ".join(f"SELECT '{f}' AS field, CAST({e} AS VARCHAR) AS value" for f, e in fields.items())
-    return _sql(_VERDICT + rows)
+    fields["location_region_distribution.outside_domain.records"] = (
+        f"(SELECT count(*) FROM silver WHERE location_region NOT IN {_REGION_LIST} AND trim(location_region) <> '')"
+    )
+    return _sql(_VERDICT + _rows_of(fields, "field"))
+
+
+def _drift(rules: str) -> str:
+    """The checks that a stored Silver of that shape fails, whatever its rows."""
+    return f"""SELECT expectation, CAST(col AS VARCHAR) AS "column" FROM (VALUES {rules}) AS t(expectation, col)"""
 
 
 _MESSAGE = "name || ' is currently in space flying on the ' || craft || '! Hello! :)'"
@@ -391,6 +441,25 @@ UNION ALL SELECT 'top_receiving_address_sales',
     "duplicate_keys": _sql(f"""
 SELECT count(*) AS duplicate_count, CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows
 FROM (SELECT count(*) AS n FROM typed GROUP BY {_KEY} HAVING count(*) > 1)"""),
+    "show_gold": """SELECT * FROM (VALUES ('fraud_credit'), ('location_region_risk_score'),
+  ('top_receiving_address_sales')) AS t(table_name)""",
+    "gold_region_values": _risk("tx_valid"),
+    "gold_top_values": _top3("tx_valid"),
+    "load_time": _sql("SELECT count(*) AS records, CAST(count(*) > 0 AS BIGINT) AS load_times, CAST(0 AS BIGINT) AS missing FROM silver"),
+    "landing_accounts": """
+SELECT 'bronze' AS layer, value, count(*) AS records
+FROM (SELECT CASE WHEN event_id % 10 = 2 THEN 'y' || chr(10) || 'z' ELSE 'y' END AS value FROM events WHERE event_id % 10 NOT IN (0, 1))
+GROUP BY value
+UNION ALL SELECT 'rejects', CASE event_id % 10 WHEN 0 THEN event_id || ',x,y,z' ELSE event_id || ',x' END, 1
+FROM events WHERE event_id % 10 IN (0, 1)""",
+    "dq_schema_drift_extra": _drift("('expect_table_columns_to_match_set', NULL)"),
+    "dq_schema_drift_missing": _drift(
+        "('expect_table_columns_to_match_set', NULL), ('expect_column_values_to_not_be_null', 'age_group'), "
+        "('expect_column_values_to_be_in_set', 'age_group')"
+    ),
+    "dq_schema_drift_type": _drift(
+        "('expect_column_values_to_be_of_type', 'amount'), ('expect_column_values_to_be_of_type', 'login_frequency')"
+    ),
     "dq_normalise": _sql("SELECT * FROM tx"),
     "dq_schema_checks": _sql(", " + _finish(_schema_results("tx", False)) + " SELECT * FROM results"),
     "dq_not_null": _results("typed", _NOT_NULL),
@@ -411,6 +480,7 @@ FROM (SELECT count(*) AS n FROM typed GROUP BY {_KEY} HAVING count(*) > 1)"""),
         _VERDICT + "SELECT *, validation_success AND conditional_rules_success AS overall_success FROM verdict"
     ),
     "dq_report_fields": _fields(),
+    "dq_report_json": _leaves(),
     "flatten_records": f"""
 WITH payloads AS (SELECT json('{{"number":' || CAST(event_id AS VARCHAR) || ',"people":[{{"craft":"' || event_type
     || '","name":"user ' || CAST(user_id AS VARCHAR) || '"}},{{"craft":"k","name":"'

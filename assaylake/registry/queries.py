@@ -120,12 +120,61 @@ def gold_fraud_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_table(spark, "fraud_credit", paths.gold("fraud_credit")).select(*S.RAW_COLUMNS)
 
 
+# The one schema that the catalog queries use; each declares its tables anew.
+CATALOG_SCHEMA = "assaylake_gold"
+
+
 def _registered(spark: SparkSession, sf_dir: str, label: str) -> str:
-    paths = _gold(spark, sf_dir, label)
-    schema = "gold_" + paths.root.rsplit("-", 1)[1]
-    catalog.create_schema(spark, schema, paths.root + "/catalog")
-    catalog.register_gold(spark, paths, schema)
-    return schema
+    catalog.create_schema(spark, CATALOG_SCHEMA)
+    catalog.register_gold(spark, _gold(spark, sf_dir, label), CATALOG_SCHEMA, replace=True)
+    return CATALOG_SCHEMA
+
+
+def show_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of the schema, as SHOW TABLES lists them."""
+    schema = _registered(spark, sf_dir, "show")
+    return catalog.list_tables(spark, schema).filter("NOT isTemporary").select(F.col("tableName").alias("table_name"))
+
+
+def gold_region_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk by region as written, by SQL over the table's name."""
+    schema = _registered(spark, sf_dir, "region_values")
+    return spark.sql(f"SELECT * FROM `{schema}`.`location_region_risk_score`")
+
+
+def gold_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top sales as written, by SQL over the table's name."""
+    schema = _registered(spark, sf_dir, "top_values")
+    return spark.sql(f"SELECT * FROM `{schema}`.`top_receiving_address_sales`")
+
+
+def load_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, distinct load times and missing ones of a Silver that is stamped by the query itself."""
+    silver = cleaning.clean(tx.raw(spark, sf_dir))
+    return silver.agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct("ingestion_timestamp").alias("load_times"),
+        F.count_if(F.col("ingestion_timestamp").isNull()).alias("missing"),
+    )
+
+
+def landing_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record of a ragged source with quoted line breaks, landed or rejected: (layer, value, records)."""
+    paths = LakePaths(new_folder(spark, "landing"))
+    text = """CASE WHEN event_id % 10 = 0 THEN concat(event_id, ',x,y,z') WHEN event_id % 10 = 1 THEN concat(event_id, ',x')
+        WHEN event_id % 10 = 2 THEN concat(event_id, ',x,"y', chr(10), 'z"') ELSE concat(event_id, ',x,y') END"""
+    lines = tx.events(spark, sf_dir).select(F.expr(text).alias("value"))
+    header = spark.range(1).select(F.lit("a,b,c").alias("value"))
+    # one file, so that the header comes first
+    whole = header.withColumn("i", F.lit(-1)).union(lines.withColumn("i", F.lit(0))).coalesce(1).sortWithinPartitions("i").select("value")
+    files.write_text(whole, paths.root + "/source")
+    jobs.land_bronze(spark, paths.root + "/source", paths, multi_line=True)
+    jobs.land_rejects(spark, paths.root + "/source", paths, multi_line=True)
+    landed = files.scan_csv(spark, paths.bronze, multi_line=True).groupBy("c").agg(F.count(F.lit(1)).alias("records"))
+    rejected = spark.read.text(paths.bronze_rejects)
+    return landed.select(F.lit("bronze").alias("layer"), F.col("c").alias("value"), "records").union(
+        rejected.select(F.lit("rejects"), "value", F.lit(1).cast("bigint"))
+    )
 
 
 def catalog_gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +188,8 @@ def catalog_gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def browse_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = _registered(spark, sf_dir, "browse")
-    return catalog.browse(spark, "fraud_credit", schema=schema).select(*S.RAW_COLUMNS)
+    columns = spark.table(f"`{schema}`.`fraud_credit`").columns
+    return catalog.browse(spark, "fraud_credit", schema=schema, order_by=columns).select(*S.RAW_COLUMNS)
 
 
 def lake_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,11 +246,97 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.report(engine.run_suite(tx.raw_silver_stamped(spark, sf_dir)), tx.LOADED_AT)
 
 
+_FAILURE = (
+    "array<struct<expectation:string,column:string,unexpected_count:bigint,unexpected_percent:double,"
+    "partial_unexpected_list:array<string>>>"
+)
+
+
+def report_leaves(written: DataFrame) -> DataFrame:
+    """(path, value) of every leaf of a report's JSON text. A failed check is known by its name and column."""
+    json_at = lambda path: F.get_json_object("metrics_json", _json_path(path))
+    plain = [
+        "execution_timestamp_utc",
+        "total_records",
+        "validation_success",
+        "conditional_rules_success",
+        "overall_success",
+        "total_expectations",
+        "successful_expectations",
+        "failed_expectations_count",
+        "duplicate_count",
+        *(f"conditional_failures.{name}.invalid_count" for name in report.CONDITIONAL_NAMES.values()),
+    ]
+    for column, (_, domain) in engine.DISTRIBUTIONS.items():
+        shown = (*domain, "blank", "null", "outside_domain.records", "outside_domain.distinct_values")
+        plain += [f"{column}_distribution.{value}" for value in shown]
+    lists = ["allowed_location_regions"]
+    lists += [f"conditional_failures.{report.CONDITIONAL_NAMES[r]}.sample_values" for r in report.SAMPLED_CONDITIONALS]
+    leaf = lambda path, value: F.struct(path.alias("path"), value.cast("string").alias("value"))
+    items = lambda path, values: F.transform(
+        values, lambda v, i: leaf(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), F.coalesce(v, F.lit("NULL")))
+    )
+
+    def failure(f):
+        path = F.concat_ws(".", F.lit("failed_expectations"), f["expectation"], f["column"])
+        share = F.round(f["unexpected_percent"], 6).cast("decimal(20,6)")
+        numbers = F.array(leaf(F.concat(path, F.lit(".unexpected_count")), f["unexpected_count"]), leaf(F.concat(path, F.lit(".unexpected_percent")), share))
+        return F.concat(numbers, items(path, f["partial_unexpected_list"]))
+
+    failed = F.transform(F.from_json(json_at("failed_expectations"), _FAILURE), failure)
+    return written.select(
+        F.inline(
+            F.concat(
+                F.array(*(leaf(F.lit(path), json_at(path)) for path in plain)),
+                *(items(F.lit(path), F.from_json(json_at(path), "array<string>")) for path in lists),
+                F.flatten(failed),
+            )
+        )
+    )
+
+
 def dq_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report as written to and read from its text file."""
+    """Every leaf of the report as written to and read from its text file."""
     folder = new_folder(spark, "report")
     files.write_line(_report(spark, sf_dir), folder)
-    return spark.read.text(folder).withColumnRenamed("value", "metrics_json")
+    return report_leaves(spark.read.text(folder).withColumnRenamed("value", "metrics_json"))
+
+
+def _drifted(spark: SparkSession, sf_dir: str, label: str, change) -> DataFrame:
+    """The schema checks of a quality job's report over a stored Silver with other columns or types: each
+    check with its outcome, told from the report's list of failures."""
+    paths = LakePaths(new_folder(spark, label))
+    files.write_silver(change(tx.raw_silver_stamped(spark, sf_dir)), paths.silver)
+    jobs.check_quality(spark, paths, tx.LOADED_AT)
+    failed = F.from_json(F.get_json_object("value", "$.failed_expectations"), _FAILURE)
+    rows = spark.read.text(paths.quality_report).select(F.inline(failed))
+    # no value broke these, so the columns or types did; distinct regions are counted apart
+    broken = (F.col("unexpected_count") == 0) & (F.col("expectation") != report.EXPECTATIONS["distinct_in_set"])
+    return rows.filter(broken).select("expectation", "column")
+
+
+def dq_schema_drift_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drifted(spark, sf_dir, "drift_extra", lambda rows: rows.withColumn("channel", F.lit("web")))
+
+
+def dq_schema_drift_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drifted(spark, sf_dir, "drift_missing", lambda rows: rows.drop("age_group"))
+
+
+def dq_schema_drift_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drifted(
+        spark,
+        sf_dir,
+        "drift_type",
+        lambda rows: rows.withColumns({"amount": F.col("amount").cast("string"), "login_frequency": F.col("login_frequency").cast("bigint")}),
+    )
+
+
+def dq_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed rows whose text was put in capitals and padded, cleaned again."""
+    noisy = {c: F.concat(F.lit(" "), F.upper(c), F.lit(" ")) for c in (*S.CODE_COLUMNS, "location_region")}
+    noisy["ip_prefix"] = F.concat(F.lit("  "), F.col("ip_prefix"))
+    return cleaning.normalise_again(tx.typed(spark, sf_dir).withColumns(noisy))
 
 
 def dq_report_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +353,8 @@ def dq_report_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         "duplicate_count",
         *(f"conditional_failures.{name}.invalid_count" for name in report.CONDITIONAL_NAMES.values()),
         *(f"anomaly_distribution.{level}" for level in S.ANOMALY_LEVELS),
-        *(f"location_region_distribution.{region}" for region in ("Africa", "Asia", "North America", "None")),
+        *(f"location_region_distribution.{region}" for region in ("Africa", "Asia", "North America")),
+        "location_region_distribution.outside_domain.records",
     ]
     text = _report(spark, sf_dir)
     entries = (
@@ -266,7 +403,15 @@ QUERIES: dict[str, Query] = {
     "dist_anomaly": lambda spark, d: profile.value_counts(tx.typed(spark, d), "anomaly"),
     "dist_region": lambda spark, d: profile.value_counts(tx.raw_typed(spark, d), "location_region"),
     "duplicate_keys": lambda spark, d: profile.count_repeated_keys(tx.raw_typed(spark, d)),
-    "dq_normalise": lambda spark, d: cleaning.normalise_again(tx.typed(spark, d)),
+    "show_gold": show_gold,
+    "gold_region_values": gold_region_values,
+    "gold_top_values": gold_top_values,
+    "load_time": load_time,
+    "landing_accounts": landing_accounts,
+    "dq_schema_drift_extra": dq_schema_drift_extra,
+    "dq_schema_drift_missing": dq_schema_drift_missing,
+    "dq_schema_drift_type": dq_schema_drift_type,
+    "dq_normalise": dq_normalise,
     "dq_schema_checks": lambda spark, d: engine.run_schema_checks(tx.typed(spark, d)),
     "dq_not_null": lambda spark, d: engine.run_row_rules(_typed(spark, d), _rules("not_null")),
     "dq_in_set": lambda spark, d: engine.run_row_rules(_typed(spark, d), _rules("in_set")),

@@ -76,3 +76,6 @@ GOLD_TABLES = {
         .add("timestamp", T.TimestampType())
     ),
 }
+
+# Text columns that are kept in lower case.
+CODE_COLUMNS = ("sending_address", "receiving_address", "transaction_type", "purchase_pattern", "age_group", "anomaly")

@@ -30,15 +30,15 @@ def object_store_conf(
     provider: str = "org.apache.hadoop.fs.s3a.SimpleAWSCredentialsProvider",
 ) -> dict[str, str]:
     """Connector settings for an S3-compatible store. Keys always come from the caller."""
-    s3a = {
-        "endpoint": endpoint,
-        "access.key": access_key,
-        "secret.key": secret_key,
-        "path.style.access": str(path_style).lower(),
-        "connection.ssl.enabled": str(tls).lower(),
-        "aws.credentials.provider": provider,
+    # The connector's own names.
+    return {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.access.key": access_key,
+        "spark.hadoop.fs.s3a.secret.key": secret_key,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(tls).lower(),
+        "spark.hadoop.fs.s3a.aws.credentials.provider": provider,
     }
-    return {f"spark.hadoop.fs.s3a.{name}": value for name, value in s3a.items()}
 
 
 def lake_session(

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assaylake import schemas as S
 
@@ -24,6 +25,25 @@ def scan_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
     )
 
 
+CORRUPT = "_corrupt_line"
+
+
+def scan_csv_whole(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """As ``scan_csv``, with one more column: the complete text of a record that has more or fewer fields
+    than the header or can't be parsed, else NULL."""
+    names = scan_csv(spark, path, multi_line).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*names, CORRUPT)])
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .csv(path)
+    )
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
     """Replace a CSV folder, a header in each file. Values keep their outer spaces, which Spark's
     writer would strip by default."""
@@ -42,6 +62,22 @@ def scan_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.SILVER).parquet(path)
 
 
+def scan_silver_as_stored(spark: SparkSession, path: str) -> DataFrame:
+    """Silver with the columns and types its files have, which may not be those declared. Partition values
+    stay text. A folder without files gives an empty table of the declared schema."""
+    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return scan_silver(spark, path)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def write_silver(rows: DataFrame, path: str) -> None:
     """Replace Silver, one folder for each transaction type.
 
@@ -61,12 +97,17 @@ def write_table(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
+def write_text(lines: DataFrame, path: str) -> None:
+    """Replace a text folder; the one column holds the lines."""
+    lines.write.mode("overwrite").text(path)
+
+
 def write_line(one_row: DataFrame, path: str) -> None:
     """Replace a text folder that holds one row in one file."""
     one_row.coalesce(1).write.mode("overwrite").text(path)
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Size of all files below a path. Only their names and lengths are read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    """Size of all files below a path, as the file system has it; no Spark job runs."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()

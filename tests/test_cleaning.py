@@ -87,3 +87,9 @@ def test_cleaning_filters_before_its_only_shuffle(spark, raw):
     assert plan.count("Exchange") == 1
     assert plan.index("Exchange") < plan.index("Filter")
     assert "Python" not in plan
+
+
+def test_valid_rows_are_parsed_once(spark, raw):
+    plan = executed_plan(cleaning.clean(raw(raw_row()), T0))
+    once = executed_plan(cleaning.parse(raw(raw_row())))
+    assert plan.count("regexp_extract") == once.count("regexp_extract")

@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import timedelta
 from decimal import Decimal
 
@@ -181,19 +182,45 @@ def test_report(silver):
         "sample_values": ["Atlantis"],
     }
     assert found["conditional_failures"]["low_risk_score_range_rule"] == {"invalid_count": 0}
-    assert found["anomaly_distribution"] == {"low_risk": 2, "null": 1}
-    assert found["location_region_distribution"] == {"Atlantis": 2, "Asia": 1}
+    none = {"records": 0, "distinct_values": 0}
+    levels = {level: 0 for level in S.ANOMALY_LEVELS} | {"low_risk": 2}
+    assert found["anomaly_distribution"] == {**levels, "blank": 0, "null": 1, "outside_domain": none}
+    regions = {region: 0 for region in S.LOCATION_REGIONS} | {"Asia": 1}
+    atlantis = {"records": 2, "distinct_values": 1}
+    assert found["location_region_distribution"] == {**regions, "blank": 0, "null": 0, "outside_domain": atlantis}
     assert found["allowed_location_regions"] == list(S.LOCATION_REGIONS)
 
 
-def test_a_distribution_too_wide_for_one_row_is_left_to_its_table(spark, silver):
-    wide = silver(transaction()).crossJoin(spark.range(engine.TOP_VALUES + 1)).withColumn(
-        "location_region", F.concat(F.lit("R"), F.col("id").cast("string"))
-    )
+@pytest.mark.parametrize("n", [3, 10_000])
+def test_a_distribution_has_one_shape(spark, silver, n):
+    wide = silver(transaction()).crossJoin(spark.range(n)).withColumn("location_region", F.concat(F.lit("R"), F.col("id").cast("string")))
     found = json.loads(report.report(engine.run_suite(wide.drop("id"))).first()[0])
-    assert found["location_region_distribution"] is None
-    assert found["anomaly_distribution"] == {"low_risk": engine.TOP_VALUES + 1}
-    assert found["conditional_failures"]["location_region_domain_rule"]["invalid_count"] == engine.TOP_VALUES + 1
+    regions = found["location_region_distribution"]
+    assert list(regions) == [*S.LOCATION_REGIONS, "blank", "null", "outside_domain"]
+    assert regions["outside_domain"] == {"records": n, "distinct_values": n}
+    assert found["anomaly_distribution"]["low_risk"] == n == found["total_records"]
+
+
+def test_absent_columns_fail_and_do_not_stop(silver):
+    for column in ("anomaly", "location_region"):
+        found = json.loads(report.report(engine.run_suite(silver(transaction()).drop(column))).first()[0])
+        assert found["total_records"] == 1 and not found["overall_success"]
+
+
+def test_literals_are_escaped(silver):
+    rows = silver(transaction(age_group="o'b\\c"), transaction(session_duration=9))
+    rule = R.in_set("age_group", ["o'b\\c"])
+    assert engine.run_row_rules(rows, [rule]).first()["unexpected_count"] == 1
+    assert R.literal("a'b\\") == "'a\\'b\\\\'"
+
+
+def test_generated_method_stays_compilable(spark, silver):
+    """The JVM leaves methods of over 8,000 bytes uncompiled, so the pass over all rows would slow down."""
+    plan = engine.all_facts(silver(transaction()))._jdf.queryExecution()
+    debug = spark._jvm.org.apache.spark.sql.execution.debug
+    text = getattr(debug, "package").codegenString(plan.executedPlan())
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
 
 
 def test_the_suite_reads_the_table_twice(spark, tmp_path):
