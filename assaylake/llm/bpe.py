@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from assaylake.llm import arrays
+from assaylake.llm.names import unused
 
 SIDE_BY_SIDE = 64
 MEMORY = 400_000
@@ -294,7 +295,7 @@ def vocabulary(file: str) -> Vocabulary:
     return Vocabulary(file)
 
 
-def _encode(file: str, text: str):
+def _encode(file: str, text: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary(file))
         for batch in batches:
@@ -303,12 +304,12 @@ def _encode(file: str, text: str):
                 raw = ids.astype("<u4")
                 packed = pa.Array.from_buffers(pa.binary(), rows.num_rows, [None, pa.py_buffer((4 * at).astype(np.int32)), pa.py_buffer(raw)])
                 kept = [n for n in rows.schema.names if n != text]
-                yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in kept), pa.array(np.diff(at)), packed], names=[*kept, "_n_tokens", "_ids"])
+                yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in kept), pa.array(np.diff(at)), packed], names=[*kept, *names])
 
     return run
 
 
-def _decode(file: str, ids: str):
+def _decode(file: str, ids: str, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(file)
         for batch in batches:
@@ -317,7 +318,7 @@ def _decode(file: str, ids: str):
                 found = np.frombuffer(value.as_py() or b"", "<u4").astype(np.int64)
                 texts.append(words.bytes_for(found[found < len(words.sizes)]).tobytes().decode("utf-8", "replace"))
             kept = [n for n in batch.schema.names if n != ids]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(texts, pa.string())], names=[*kept, "_decoded"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(texts, pa.string())], names=[*kept, name])
 
     return run
 
@@ -327,16 +328,19 @@ def encode(
 ) -> DataFrame:
     """``docs`` with the ids of each text (little-endian unsigned 32-bit numbers, as bytes) and their number.
     ``file`` must be there on every executor. A column of one of those names is replaced."""
-    out = docs.withColumn("_text", F.col(text).cast("string")).drop(ids, n_tokens, *([] if keep_text else [text]))
-    shape = T.StructType([f for f in out.schema if f.name != "_text"]).add("_n_tokens", T.LongType()).add("_ids", T.BinaryType())
-    return out.mapInArrow(_encode(file, "_text"), shape).withColumnsRenamed({"_n_tokens": n_tokens, "_ids": ids})
+    content, *names = unused(docs, "_text", "_n_tokens", "_ids")
+    out = docs.withColumn(content, F.col(text).cast("string")).drop(ids, n_tokens, *([] if keep_text else [text]))
+    shape = T.StructType([f for f in out.schema if f.name != content]).add(names[0], T.LongType()).add(names[1], T.BinaryType())
+    encoded = out.mapInArrow(_encode(file, content, names), shape)
+    return encoded.withColumnsRenamed(dict(zip(names, (n_tokens, ids), strict=True)))
 
 
 def decode(encoded: DataFrame, file: str, *, ids: str = "ids", text: str = "decoded", keep_ids: bool = True) -> DataFrame:
     """``encoded`` with the text that its ids stand for. A column of that name is replaced."""
-    out = encoded.withColumn("_ids", F.col(ids)).drop(text, *([] if keep_ids else [ids]))
-    shape = T.StructType([f for f in out.schema if f.name != "_ids"]).add("_decoded", T.StringType())
-    return out.mapInArrow(_decode(file, "_ids"), shape).withColumnRenamed("_decoded", text)
+    held, name = unused(encoded, "_ids", "_decoded")
+    out = encoded.withColumn(held, F.col(ids)).drop(text, *([] if keep_ids else [ids]))
+    shape = T.StructType([f for f in out.schema if f.name != held]).add(name, T.StringType())
+    return out.mapInArrow(_decode(file, held, name), shape).withColumnRenamed(name, text)
 
 
 def array_of(ids: str):

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from assaylake.llm import arrays
+from assaylake.llm.names import unused
 
 # Letters a to z, digits and everything beyond ASCII, after lower-casing A to Z.
 WORD_BYTE = np.zeros(256, bool)
@@ -193,10 +194,9 @@ def with_leaks(
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"), F.col(item_text).cast("string").alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
-    names = [f"_{into}_words", f"_{into}_spans", f"_{into}_items"]
+    content, *names = unused(docs, "_text", "_words", "_spans", "_items")
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
     kinds = [T.LongType(), T.ArrayType(span), T.ArrayType(T.StringType())]
-    content = f"_{into}_text"
     out = docs.withColumn(content, F.col(text).cast("string"))
     shape = T.StructType([*out.schema.fields, *map(T.StructField, names, kinds)])
     plain = docs.select(F.col(text).cast("string").alias("text"))

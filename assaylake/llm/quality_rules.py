@@ -7,8 +7,8 @@ aggregation; the driver sees one small histogram per growth step (features times
 
 Defined cases: a NULL or blank text has no words, all statistics 0, and fails the base rule. Repeated
 rows are measured each for itself. A NULL label, or labels of one id that are evenly divided, teach
-nothing. Without labelled rows of both kinds the list is empty and rejects nothing. Other columns of
-the input are not read.
+nothing. Without labelled rows of both kinds the list is empty and rejects nothing. Other columns are
+passed on; one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from assaylake.llm.names import unused
+
 WORD_GAP = r"[\x20\x09-\x0D]+"
 WINDOW = 8
 
@@ -72,7 +74,7 @@ def _with_repeated_words(docs: DataFrame, hashes: str, into: str) -> DataFrame:
 def text_statistics(docs: DataFrame, text: str = "text", into: str = "statistics") -> DataFrame:
     """``docs`` with a struct of counts and shares. Window hashes are 64-bit; two windows of one text
     that differ but share a hash would count as repeats (odds about n^2 / 2^65)."""
-    content, words, lines, hashes, repeated = (f"_{into}_{name}" for name in ("text", "words", "lines", "hashes", "repeated"))
+    content, words, lines, hashes, repeated = unused(docs, *(f"_{into}_{name}" for name in ("text", "words", "lines", "hashes", "repeated")))
     out = docs.withColumn(content, F.coalesce(F.col(text).cast("string"), F.lit("")))
     out = out.withColumn(words, F.array_remove(F.split(content, WORD_GAP), "")).withColumn(
         lines, F.filter(F.split(content, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))

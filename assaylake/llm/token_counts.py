@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from assaylake.llm import arrays
+from assaylake.llm.names import unused
 
 TRIE_DEPTH = 128
 _R = np.uint64(0x9E3779B97F4A7C15)
@@ -148,7 +149,7 @@ def _points(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return points, np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
 
 
-def _count(lexicon: Lexicon, text: str):
+def _count(lexicon: Lexicon, text: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(lexicon)
         for batch in batches:
@@ -167,7 +168,7 @@ def _count(lexicon: Lexicon, text: str):
                 total = np.concatenate([[0], np.cumsum(tokens[which])])
                 kept = [n for n in rows.schema.names if n != text]
                 counts = [pa.array(np.diff(first)), pa.array(np.diff(total[first]))]
-                yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in kept), *counts], names=[*kept, "_n_words", "_n_tokens"])
+                yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in kept), *counts], names=[*kept, *names])
 
     return run
 
@@ -177,6 +178,8 @@ def with_token_counts(
 ) -> DataFrame:
     """``docs`` with the number of words and of tokens of each text. Columns of those names are replaced. The
     lexicon goes to the tasks with the code; its size is that of its file."""
-    out = docs.withColumn("_text", F.col(text).cast("string")).drop(n_words, n_tokens, *([] if keep_text else [text]))
-    shape = T.StructType([f for f in out.schema if f.name != "_text"]).add("_n_words", T.LongType()).add("_n_tokens", T.LongType())
-    return out.mapInArrow(_count(lexicon, "_text"), shape).withColumnsRenamed({"_n_words": n_words, "_n_tokens": n_tokens})
+    content, *names = unused(docs, "_text", "_n_words", "_n_tokens")
+    out = docs.withColumn(content, F.col(text).cast("string")).drop(n_words, n_tokens, *([] if keep_text else [text]))
+    shape = T.StructType([f for f in out.schema if f.name != content] + [T.StructField(n, T.LongType()) for n in names])
+    counted = out.mapInArrow(_count(lexicon, content, names), shape)
+    return counted.withColumnsRenamed(dict(zip(names, (n_words, n_tokens), strict=True)))

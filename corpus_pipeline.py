@@ -24,11 +24,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from assaylake.llm import bpe, decontamination, near_duplicates, quality_rules, secrets
+from assaylake.llm.names import unused
 from assaylake.plans.scratch import new_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scratch, mark = new_folder(spark, "pipeline-quality"), "_quality"
+    scratch, (mark,) = new_folder(spark, "pipeline-quality"), unused(docs, "_quality")
     quality_rules.text_statistics(docs, into=mark).write.parquet(f"{scratch}/measured")
     measured = spark.read.parquet(f"{scratch}/measured")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -49,19 +50,21 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    leaks = decontamination.with_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), into="_leaks")
-    return leaks.where(F.col("_leaks")["n_hit"] == 0).drop("_leaks")
+    (mark,) = unused(docs, "_leaks")
+    leaks = decontamination.with_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), into=mark)
+    return leaks.where(F.col(mark)["n_hit"] == 0).drop(mark)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ledger = new_folder(spark, "pipeline-secrets")
     secrets.scan(docs, ledger, path="doc_id")
-    found = secrets.findings_by_blob(spark, ledger).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    key, spans = unused(docs, "_blob", "_spans")
+    found = secrets.findings_by_blob(spark, ledger).select(F.col("blob").alias(key), F.col("spans").alias(spans))
     blob = F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
-    marked = docs.withColumn("_blob", blob).join(found, "_blob", "left").withColumn("text", secrets.redacted(F.col("text"), F.col("_spans")))
+    marked = docs.withColumn(key, blob).join(found, key, "left").withColumn("text", secrets.redacted(F.col("text"), F.col(spans)))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        marked = marked.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+        marked = marked.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
     return marked.select(*map(_name, docs.columns))
 
 
