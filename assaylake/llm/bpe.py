@@ -345,8 +345,7 @@ def decode(encoded: DataFrame, file: str, *, ids: str = "ids", text: str = "deco
 
 def array_of(ids: str):
     """The ids as an array column, for users who want numbers rather than bytes."""
-    digits = F.hex(F.col(ids))
-    byte = lambda i, k: F.conv(F.substring(digits, 8 * i + 2 * k + 1, F.lit(2)), 16, 10).cast("long")
-    number = lambda i: sum((byte(i, k) * (256**k) for k in range(1, 4)), byte(i, 0))
-    n = (F.length(ids) / 4).cast("int")
+    byte = lambda i, k: F.hex(F.substring(F.col(ids), 4 * i + (k + 1), F.lit(1)))
+    number = lambda i: F.conv(F.concat(*(byte(i, k) for k in (3, 2, 1, 0))), 16, 10).cast("long")
+    n = (F.octet_length(ids) / 4).cast("int")
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), number)).otherwise(F.array().cast("array<bigint>"))
