@@ -178,8 +178,8 @@ def distinct_regions(rows: DataFrame) -> DataFrame:
     )
 
 
-def key_findings(rows: DataFrame) -> DataFrame:
-    """Pass two: all rows, the rows in repeated transaction keys (``n``), the number of such keys
+def key_findings(rows: DataFrame, count_rows: bool = False) -> DataFrame:
+    """Pass two: the rows in repeated transaction keys (``n``), the number of such keys
     (``n_values``) and the most repeated ones. NULLs are equal here, as in any grouping.
 
     Only repeated keys go on after the count. Their own small shuffle is there to be reused: counts
@@ -196,8 +196,12 @@ def key_findings(rows: DataFrame) -> DataFrame:
         .limit(KEY_SAMPLES)
         .selectExpr(name, f"{_in_order('-n')} AS top")
     )
+    found = _as_findings(counts).unionByName(_as_findings(top))
+    if not count_rows:
+        return found
+    # all rows, from the same count of keys, for a check without the first pass
     rows_of_keys = key_counts(rows).selectExpr(f"'{ROWS}' AS fact", "copies AS n").groupBy("fact").agg(F.expr("sum(n) AS n"))
-    return _as_findings(counts).unionByName(_as_findings(top)).unionByName(_as_findings(rows_of_keys))
+    return found.unionByName(_as_findings(rows_of_keys))
 
 
 def gather(*found: DataFrame) -> DataFrame:
@@ -338,7 +342,7 @@ def run_distinct_check(rows: DataFrame) -> DataFrame:
 
 def run_unique_check(rows: DataFrame) -> DataFrame:
     complete = set(S.TRANSACTION_KEY) <= set(rows.columns)
-    findings = gather(key_findings(rows) if complete else row_counts(rows, ()))
+    findings = gather(key_findings(rows, count_rows=True) if complete else row_counts(rows, ()))
     return result_rows(judge(findings, [unique_check(rows.columns)]))
 
 
