@@ -2,7 +2,7 @@
 
 A text is the set of its distinct k-word shingles (lower-cased; a shorter text is one shingle of all its
 words). Texts are linked when their sets' similarity is at least ``percent`` / 100, and every link is
-confirmed on the full sets of 64-bit shingle fingerprints.
+confirmed on the full sets of shingle fingerprints (48 bits; a count is off by one about once in 10^9 pairs).
 
 1. Texts with equal sets form one class (128-bit set fingerprint). Only classes go on.
 2. Each class has a signature of ``COORDINATES`` minima. A pair as similar as asked agrees in at least
@@ -37,6 +37,7 @@ from assaylake.llm.components import connected_components
 COORDINATES = 48
 SHORT_LIST = 32
 SHARED = 3
+SET_BYTES = 6
 
 _MULTIPLIERS = arrays.mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -101,18 +102,26 @@ def _sets(k: int):
         for batch in batches:
             for rows, buf, offsets in arrays.pieces(batch, "text"):
                 hashes, at = _distinct(*shingles(buf, offsets, k))
-                sets = pa.array([hashes[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.large_binary())
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), sets.cast(pa.binary())], names=["cid", "set"])
+                packed = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SET_BYTES]
+                sets = pa.array([packed[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), sets], names=["cid", "set"])
 
     return run
 
 
+def _unpacked(value: pa.BinaryScalar) -> np.ndarray:
+    packed = np.frombuffer(value.as_buffer(), np.uint8).reshape(-1, SET_BYTES)
+    wide = np.zeros((len(packed), 8), np.uint8)
+    wide[:, :SET_BYTES] = packed
+    return wide.view("<u8").ravel()
+
+
 def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"), strict=True)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                x, y = _unpacked(x), _unpacked(y)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * both >= percent * (len(x) + len(y) - both):
                     keep.append(i)
@@ -193,11 +202,17 @@ class _Search:
         agree = F.aggregate(
             F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, same: total + same
         )
-        pairs = met.select("a", "b").join(of("a"), "a").join(of("b"), "b").where(self.close(F.col("na"), F.col("nb")) & (agree >= least))
-        pairs = self.written(pairs.select("a", "b"), "pairs")
 
-        # first each class with one partner of each side, then what still lies apart
-        some = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(pairs.groupBy("a").agg(F.max("b").alias("b")))
+        def matched(candidates: DataFrame) -> DataFrame:
+            """Candidates of fitting sizes that agree often enough, with the number of coordinates."""
+            both = candidates.select("a", "b").join(of("a"), "a").join(of("b"), "b").where(self.close(F.col("na"), F.col("nb")))
+            return both.select("a", "b", agree.alias("agree")).where(F.col("agree") >= least)
+
+        pairs = self.written(matched(met), "pairs")
+
+        # first each class with its best partner of smaller id, then what still lies apart
+        some = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", "a")).alias("a")).select("a", "b")
+        pairs = pairs.select("a", "b")
         hot = ordered.where(F.size("posted") < prefix)
         hot_posts = hot.select("cid", "sig", F.explode("long").alias("coordinate")).select(
             "cid", "coordinate", F.element_at("sig", F.col("coordinate") + 1).alias("value")
@@ -205,7 +220,7 @@ class _Search:
         leaders = hot_posts.groupBy("coordinate", "value").agg(F.min("cid").alias("a"))
         led = hot_posts.join(leaders, ["coordinate", "value"]).select("a", F.col("cid").alias("b")).where("a < b")
         met = led.groupBy("a", "b").agg(F.count("*").alias("n"))
-        stars = met.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
+        stars = matched(met.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a"))).select("a", "b")
         links = self.confirmed(some.union(stars).distinct(), "first")
         found = self.components(links, "first-components")
         links = links.union(self.confirmed(self.apart(pairs, found), "second"))
