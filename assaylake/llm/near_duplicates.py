@@ -7,15 +7,15 @@ confirmed on the full sets of shingle fingerprints (48 bits; a count is off by o
 1. Texts with equal sets form one class (128-bit set fingerprint). Only classes go on.
 2. Each class has a signature of ``COORDINATES`` minima. A pair as similar as asked agrees in at least
    ``least`` coordinates (five standard deviations below the mean, so about one in a million is missed).
-3. Coordinate-value pairs are counted. Classes are posted under their coordinates, those held by at most
-   ``SHORT_LIST`` classes first: the global order in which the first ``n - least + shared`` of two similar
+3. Coordinate-value pairs are counted. Classes are posted under their coordinates, those held by the fewest
+   classes first (in steps, ``RARE``): a global order, in which the first ``n - least + shared`` of two similar
    signatures share ``shared`` coordinates. Long lists are skipped, as in skip merging, since what they would
    find is found in short ones. Collisions are counted, and pairs at or above the threshold kept.
 4. Classes whose coordinates are mostly in long lists (members of large groups of near copies) get exact
    candidates instead: each links first with the class that leads most of its lists, and classes still in different
    components are joined on their rarest shingles, with the length and positional bounds of prefix
    filtering. So no group is expanded into all its pairs, and no list is cut.
-5. Pairs are confirmed in two rounds: one or two partners for each class, then only the pairs that still
+5. Pairs are confirmed in rounds: the best partner of smaller id for each class, then only the pairs that still
    connect different components.
 
 Defined cases: a NULL, empty or blank text has an empty set, links with nothing and is kept. Repeated rows
@@ -35,7 +35,7 @@ from assaylake.llm import arrays
 from assaylake.llm.components import connected_components
 
 COORDINATES = 48
-SHORT_LIST = 32
+RARE = (4, 8, 32)  # lists of up to so many classes, from the rarest on; longer ones are not posted
 SHARED = 3
 SET_BYTES = 6
 
@@ -182,23 +182,27 @@ class _Search:
         )
         classes = self.written(classes, "classes")
         elements = classes.select("cid", F.posexplode("sig").alias("coordinate", "value"))
-        long = elements.groupBy("coordinate", "value").agg(F.count("*").alias("n")).where(F.col("n") > SHORT_LIST)
-        masks = elements.join(long, ["coordinate", "value"], "left_semi").groupBy("cid").agg(
-            F.collect_set("coordinate").alias("long")
-        )
-        elements = F.transform("sig", lambda v, i: F.struct(i.alias("coordinate"), v.alias("value")))
-        short = F.filter(elements, lambda e: ~F.array_contains(F.coalesce("long", F.array().cast("array<int>")), e["coordinate"]))
-        ordered = classes.join(masks, "cid", "left").select(
-            "cid", "n", F.slice(short, 1, prefix).alias("posted"), "long", "sig"
+        counted = elements.groupBy("coordinate", "value").agg(F.count("*").alias("n")).where(F.col("n") > RARE[0])
+        level = sum(((F.col("n") > bound).cast("int") for bound in RARE[1:]), F.lit(1))
+        held = elements.join(counted.select("coordinate", "value", level.alias("level")), ["coordinate", "value"])
+        levels = held.groupBy("cid").agg(F.map_from_entries(F.collect_list(F.struct("coordinate", "level"))).alias("levels"))
+        at = lambda i: F.coalesce(F.try_element_at("levels", i), F.lit(0))
+        ranked = F.sort_array(F.transform("sig", lambda v, i: F.struct(at(i).alias("level"), i.alias("coordinate"), v.alias("value"))))
+        short = F.filter(ranked, lambda e: e["level"] < len(RARE))
+        long = F.transform(F.filter(ranked, lambda e: e["level"] == len(RARE)), lambda e: e["coordinate"])
+        ordered = classes.join(levels, "cid", "left").select(
+            "cid", "n", F.slice(short, 1, prefix).alias("posted"), long.alias("long"), "sig"
         )
         ordered = self.written(ordered, "ordered")
 
-        posts = ordered.select("cid", F.explode("posted").alias("e")).select("cid", "e.*")
+        posts = ordered.select("cid", F.explode("posted").alias("e")).select("cid", "e.coordinate", "e.value")
         met = posts.select(F.col("cid").alias("a"), "coordinate", "value").join(
             posts.select(F.col("cid").alias("b"), "coordinate", "value"), ["coordinate", "value"]
         )
         met = met.where("a < b").groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= SHARED)
-        of = lambda side: classes.select(F.col("cid").alias(side), F.col("n").alias(f"n{side}"), F.col("sig").alias(f"s{side}"))
+        # seven bits of each minimum tell whether two agree, but for a chance of 1/128 that adds a candidate
+        small = F.transform("sig", lambda v: v.bitwiseAND(127).cast("tinyint"))
+        of = lambda side: classes.select(F.col("cid").alias(side), F.col("n").alias(f"n{side}"), small.alias(f"s{side}"))
         agree = F.aggregate(
             F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, same: total + same
         )
