@@ -1,10 +1,12 @@
-"""License scans: sparse TF-IDF cosine of lines and licence files to templates, inherited down directories.
+"""License scans: sparse TF-IDF cosine of parts of whole texts to templates, inherited down directories.
 
-Every non-blank line of every whole text is a vector over its distinct words, weighted by their rarity over
-all lines (a header rarely repeats a word, so a term counts once). Words that no template has don't change a
-dot product; they only lengthen the line's vector, all by the weight of a word seen nowhere. So counts are
-needed for template words alone, and lines whose template words can't reach the threshold are out before
-any template is looked at.
+Every part is a vector over its distinct words, weighted by their rarity over all non-blank lines (a header
+rarely repeats a word, so a term counts once). All words of all lines are counted, so the length of a part's
+vector is that of its real words, and scores depend on shares of lines, not on the size of the corpus.
+
+A part as similar as asked holds at least ``threshold`` squared of a template's squared length, so texts whose
+words don't hold that much of any template are out, with no loss, before any part is looked at. Only the others
+are joined with the counts.
 
 A file's own licenses are those of its matching lines. A file is a licence file if it has a usual name, or if
 at least half of its lines match; its directory then has its licenses. A file without a licence of its own
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 MOST_TEMPLATES = 200
 MOST_WORDS = 5_000
@@ -48,18 +50,18 @@ LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([-._][^/]*)?$"
 _WORD_GAP = r"[^0-9a-z+.-]+"
 
 
-def _terms(text: Column) -> Column:
-    """Distinct words, without the dots that end sentences."""
+def _words(text: Column) -> Column:
+    """Words in their order, without the dots that end sentences."""
     words = F.split(F.regexp_replace(F.lower(text), r"\.+(?![0-9a-z])", " "), _WORD_GAP)
-    return F.array_remove(F.array_distinct(words), "")
+    return F.array_remove(words, "")
 
 
-def notices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([*NOTICES], "license string, text string")
+def _terms(text: Column) -> Column:
+    return F.array_distinct(_words(text))
 
 
-def _array(values: list, kind: str) -> Column:
-    return F.array(*map(F.lit, values)).cast(f"array<{kind}>")
+def notices(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([*NOTICES], "license string, text string")
 
 
 def scan(
@@ -80,20 +82,18 @@ def scan(
     if len(rows) > MOST_TEMPLATES or len(vocabulary) > MOST_WORDS:
         raise ValueError("too many templates")
 
-    lines = F.filter(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n"), lambda s: s.rlike(r"\S"))
-    each = files.select(F.col(path).cast("string").alias("path"), F.posexplode(lines).alias("line", "content"))
-    words = each.select("path", "line", _terms(F.col("content")).alias("terms"))
-    shared = F.array_intersect("terms", _array(vocabulary, "string"))
-    kept = words.select("path", "line", shared.alias("shared"), F.size("terms").alias("n"))
-    # a row for each line: only template words, and how many others there are
-    kept.where(F.size("shared") > 0).write.parquet(f"{scratch}/lines")
-    counts = files.agg(F.coalesce(F.sum(F.size(lines).cast("long")), F.lit(0))).first()[0]
-    found = spark.read.parquet(f"{scratch}/lines")
-    df = {r["t"]: r["n"] for r in found.select(F.explode("shared").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()}
-    weight = {t: math.log((1 + counts) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
-    other = math.log(1 + counts) + 1
-
-    matched = _matched(found, rows, weight, other, threshold)
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    lines = F.filter(F.split(whole, "\n"), lambda s: s.rlike(r"\S"))
+    # in how many lines each word is; the empty one is in all
+    terms = files.select(F.explode(lines).alias("content")).select(F.explode(F.array_append(_terms(F.col("content")), F.lit(""))).alias("term"))
+    terms.groupBy("term").agg(F.count("*").alias("df")).write.parquet(f"{scratch}/counts")
+    counts = spark.read.parquet(f"{scratch}/counts")
+    df = {r["term"]: r["df"] for r in counts.where(F.col("term").isin(["", *vocabulary])).collect()}
+    total = df.get("", 0)
+    weight = {t: math.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
+
+    rare = F.log((1 + F.lit(total)) / (1 + F.col("df"))) + 1
+    matched = _matched(files.select(F.col(path).cast("string").alias("path"), whole.alias("text"), lines.alias("lines")), rows, weight, counts.select("term", (rare * rare).alias("w")), scratch, threshold)
     matched.write.parquet(f"{scratch}/matched")
     matched = spark.read.parquet(f"{scratch}/matched")
     totals = files.select(F.col(path).cast("string").alias("path"), F.size(lines).alias("lines")).groupBy("path").agg(F.max("lines").alias("lines"))
@@ -138,25 +138,58 @@ def _parent(path: Column) -> Column:
     return F.when(F.instr(path, "/") > 0, F.regexp_replace(path, "/[^/]*$", "")).when(path.isNotNull(), F.lit(""))
 
 
-def _matched(found: DataFrame, rows: list, weight: dict[str, float], other: float, threshold: float) -> DataFrame:
+def _matched(files: DataFrame, rows: list, weight: dict[str, float], counts: DataFrame, scratch: str, threshold: float) -> DataFrame:
     """(path, line, license, score): the best template of each line that reaches the threshold. Squared weights are
-    added in the order of the vocabulary, so equal lines have equal scores."""
-    if not rows:
-        return found.select("path", "line", F.lit("").alias("license"), F.lit(0.0).alias("score")).where("false")
-    table = F.create_map(*(F.lit(x) for t in sorted(weight) for x in (t, weight[t] ** 2)))
-    add = lambda total, t: total + F.element_at(table, t)
-    held = F.aggregate(F.sort_array("shared"), F.lit(0.0), add)
-    length = F.col("held") + (F.col("n") - F.size("shared")) * F.lit(other**2)
-    close = found.withColumn("held", held).withColumn("norm", F.sqrt(length)).where(F.sqrt("held") >= F.lit(threshold) * F.col("norm"))
-    scores = []
-    for r in rows:
-        terms = sorted(r["terms"])
-        size = math.sqrt(math.fsum(weight[t] ** 2 for t in terms))
-        both = F.aggregate(F.sort_array(F.array_intersect("shared", _array(terms, "string"))), F.lit(0.0), add)
-        scores.append(F.struct(F.round(both / (F.col("norm") * F.lit(size)), 6).alias("score"), F.lit(r["license"]).alias("license")))
-    top = F.reduce(
-        F.array(*scores),
-        F.struct(F.lit(-1.0).alias("score"), F.lit("").alias("license")),
-        lambda a, b: F.when(b["score"] > a["score"], b).otherwise(a),
+    added in the order of the words, so equal lines have equal scores."""
+    spark = files.sparkSession
+    square = {t: w * w for t, w in weight.items()}
+    known = [(i, r["license"], sorted(r["terms"]), math.fsum(square[t] for t in r["terms"])) for i, r in enumerate(rows)]
+    templates = spark.createDataFrame(known, "template int, license string, terms array<string>, size double")
+    held = spark.createDataFrame([(i, t, square[t]) for i, _, terms, _ in known for t in terms], "template int, term string, w double")
+    # what is left of a template without these words is less than a match must hold (by a margin for rounding)
+    least = threshold * threshold * (1 - 1e-9)
+    anchors = set()
+    for _, _, terms, size in known:
+        rest = size
+        for t in sorted(terms, key=lambda t: (-weight[t], t)):
+            if rest < least * size:
+                break
+            anchors.add(t)
+            rest -= square[t]
+    among = lambda values: F.filter("terms", lambda t: t.isin(sorted(values)) if values else F.lit(False))
+    some = files.withColumn("terms", _terms(F.col("text"))).where(F.size(among(anchors)) > 0)
+    some.select(F.monotonically_increasing_id().alias("row"), "path", "lines", among(weight).alias("terms")).write.parquet(f"{scratch}/some")
+    some = spark.read.parquet(f"{scratch}/some")
+    pairs = some.select("row", F.explode("terms").alias("term")).join(held, "term").groupBy("row", "template").agg(F.sum("w").alias("w"))
+    pairs = pairs.join(templates, "template").where(F.col("w") >= F.lit(least) * F.col("size")).drop("w")
+    pairs.write.parquet(f"{scratch}/pairs")
+    pairs = spark.read.parquet(f"{scratch}/pairs")
+
+    # the words of these texts with their weights, and where each was before
+    placed = F.flatten(F.transform("lines", lambda s, i: F.transform(_words(s), lambda w: F.struct(i.alias("line"), w.alias("term")))))
+    words = some.join(pairs.select("row").distinct(), "row", "left_semi").select("row", F.posexplode(placed).alias("at", "o"))
+    words = words.select("row", "at", "o.line", "o.term").join(counts, "term")
+    words = words.withColumn("before", F.coalesce(F.lag("at").over(Window.partitionBy("row", "term").orderBy("at")), F.lit(-1)))
+    texts = words.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "line", "term", "w", "before"))).alias("words"))
+    both = pairs.join(texts, "row").withColumn(
+        "words", F.transform("words", lambda x: x.withField("shared", F.when(F.array_contains("terms", x["term"]), x["w"]).otherwise(0.0)))
+    )
+    c = F.col
+    scored = both.select("row", "license", "size", "words", F.explode(_parts()).alias("part")).select(
+        "row", "license", "size", "part", F.slice("words", c("part.start") + 1, c("part.n")).alias("words")
     )
-    return close.select("path", "line", top.alias("top")).select("path", "line", "top.license", "top.score").where(F.col("score") >= threshold)
+    # a word counts where the part has it first
+    add = lambda field: F.aggregate("words", F.lit(0.0), lambda s, x: s + F.when(x["before"] < c("part.start"), x[field]).otherwise(0.0))
+    scored = scored.withColumn("dot", add("shared")).where(c("dot") >= F.lit(least) * c("size"))
+    scored = scored.withColumn("score", F.round(c("dot") / F.sqrt(add("w") * c("size")), 6)).where(c("score") >= threshold)
+    lines = scored.select("row", "license", "score", c("words")[0]["line"].alias("line"))
+    top = F.min_by("license", F.struct(-c("score"), c("license"))).alias("license")
+    best = lines.groupBy("row", "line").agg(top, F.max("score").alias("score"))
+    return best.join(some.select("row", "path"), "row").select("path", "line", "license", "score")
+
+
+def _parts() -> Column:
+    """Parts of a text that are compared, as first word and number of words: each line."""
+    starts = F.filter("words", lambda x, i: (i == 0) | (F.try_element_at("words", i)["line"] < x["line"]))
+    begin = F.transform(starts, lambda x: x["at"])
+    return F.transform(begin, lambda s, i: F.struct(s.alias("start"), (F.coalesce(F.try_element_at(begin, i + 2), F.size("words")) - s).alias("n")))
