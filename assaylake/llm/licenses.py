@@ -4,9 +4,13 @@ Every part is a vector over its distinct words, weighted by their rarity over al
 rarely repeats a word, so a term counts once). All words of all lines are counted, so the length of a part's
 vector is that of its real words, and scores depend on shares of lines, not on the size of the corpus.
 
-A part as similar as asked holds at least ``threshold`` squared of a template's squared length, so texts whose
-words don't hold that much of any template are out, with no loss, before any part is looked at. Only the others
-are joined with the counts.
+Parts are single lines, whole texts, and runs of as many words as a template has, so headers are found however
+their lines are wrapped, and notices within longer lines. Templates of fewer than ``TITLE_WORDS`` words are titles,
+which only whole lines match. An SPDX tag holds if its line has the tag and the name, so all names of an expression do.
+
+A part as similar as asked lacks less than 1 - ``threshold`` squared of a template's squared length. So of the
+template's rarest words it has at least a known weight; texts without that are out, with no loss, before any part
+is looked at. Only the others are joined with the counts.
 
 A file's own licenses are those of its matching lines. A file is a licence file if it has a usual name, or if
 at least half of its lines match; its directory then has its licenses. A file without a licence of its own
@@ -23,6 +27,7 @@ name. An empty template table matches nothing. Other columns are not read. Templ
 from __future__ import annotations
 
 import math
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -45,6 +50,53 @@ NOTICES = (
     ("MIT", "Released under the MIT License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0."),
 )
+_GNU = (
+    "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} as published by"
+    " the Free Software Foundation, either version {2} of the License, or (at your option) any later version. This {0} is distributed in"
+    " the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A"
+    " PARTICULAR PURPOSE. See the GNU {1} for more details."
+)
+# standard headers, however their lines are wrapped
+HEADERS = (
+    ("AGPL-3.0", _GNU.format("program", "Affero General Public License", "3")),
+    (
+        "Apache-2.0",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the"
+        " License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or"
+        " agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR"
+        " CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and"
+        " limitations under the License.",
+    ),
+    ("GPL-2.0", _GNU.format("program", "General Public License", "2")),
+    ("GPL-3.0", _GNU.format("program", "General Public License", "3")),
+    ("LGPL-2.1", _GNU.format("library", "Lesser General Public License", "2.1")),
+    ("LGPL-3.0", _GNU.format("library", "Lesser General Public License", "3")),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed"
+        " with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+)
+TITLES = (
+    ("AGPL-3.0", "GNU Affero General Public License"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("GPL-1.0-or-later", "GNU General Public License"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("ISC", "ISC License"),
+    ("LGPL-2.0-or-later", "GNU Lesser General Public License"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+)
+TAG = "spdx-license-identifier"
+TITLE_WORDS = 5  # shorter templates are titles, which only a whole line can be
+LONG_WORDS = 400
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([-._][^/]*)?$"
 
 _WORD_GAP = r"[^0-9a-z+.-]+"
@@ -61,7 +113,11 @@ def _terms(text: Column) -> Column:
 
 
 def notices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([*NOTICES], "license string, text string")
+    """Notices, titles, standard headers, SPDX tags and whole texts of public licenses."""
+    texts = [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+    names = sorted({name for name, _ in (*NOTICES, *HEADERS, *TITLES, *texts)})
+    tags = [(name, f"{TAG}: {name}{end}") for name in names for end in (("", "-only", "-or-later", "+") if "GPL" in name else ("",))]
+    return spark.createDataFrame([*NOTICES, *TITLES, *HEADERS, *tags, *texts], "license string, text string")
 
 
 def scan(
@@ -76,8 +132,9 @@ def scan(
     """For each path: ``own`` (array of license, score and line number, best first), ``licence_file``, ``inherited``
     (array of names), ``inherited_from`` (a directory) and ``licenses`` (names that hold, sorted)."""
     spark = files.sparkSession
-    known = templates.where("license is not null").select("license", _terms(F.coalesce("text", F.lit(""))).alias("terms")).where("size(terms) > 0")
-    rows = known.distinct().orderBy("license", "terms").limit(MOST_TEMPLATES + 1).collect()
+    known = templates.where("license is not null").select("license", _words(F.coalesce("text", F.lit(""))).alias("words"))
+    known = known.select("license", F.array_distinct("words").alias("terms"), F.size("words").alias("n")).where("size(terms) > 0")
+    rows = known.distinct().orderBy("license", "terms", "n").limit(MOST_TEMPLATES + 1).collect()
     vocabulary = sorted({t for r in rows for t in r["terms"]})
     if len(rows) > MOST_TEMPLATES or len(vocabulary) > MOST_WORDS:
         raise ValueError("too many templates")
@@ -139,29 +196,32 @@ def _parent(path: Column) -> Column:
 
 
 def _matched(files: DataFrame, rows: list, weight: dict[str, float], counts: DataFrame, scratch: str, threshold: float) -> DataFrame:
-    """(path, line, license, score): the best template of each line that reaches the threshold. Squared weights are
-    added in the order of the words, so equal lines have equal scores."""
+    """(path, line, license, score): for each line the best of the templates that reach the threshold in a part with
+    this line, and all SPDX tags. A line's best is what holds most of a template, but a whole text yields to its parts.
+    Squared weights are added in the order of the words, so equal parts have equal scores."""
     spark = files.sparkSession
     square = {t: w * w for t, w in weight.items()}
-    known = [(i, r["license"], sorted(r["terms"]), math.fsum(square[t] for t in r["terms"])) for i, r in enumerate(rows)]
-    templates = spark.createDataFrame(known, "template int, license string, terms array<string>, size double")
-    held = spark.createDataFrame([(i, t, square[t]) for i, _, terms, _ in known for t in terms], "template int, term string, w double")
-    # what is left of a template without these words is less than a match must hold (by a margin for rounding)
-    least = threshold * threshold * (1 - 1e-9)
-    anchors = set()
-    for _, _, terms, size in known:
-        rest = size
+    known = [(i, r["license"], r["terms"], r["n"], math.fsum(square[t] for t in sorted(r["terms"]))) for i, r in enumerate(rows)]
+    least = threshold * threshold * (1 - 1e-9)  # by a margin for rounding
+    # a match holds most of a template, so of its rarest words at least what it may not lack
+    rarest, bounds = [], []
+    for i, license, terms, n, size in known:
+        part, sought = 0.0, (1 - least) * size + least * size / 2
         for t in sorted(terms, key=lambda t: (-weight[t], t)):
-            if rest < least * size:
+            if part >= sought:
                 break
-            anchors.add(t)
-            rest -= square[t]
-    among = lambda values: F.filter("terms", lambda t: t.isin(sorted(values)) if values else F.lit(False))
-    some = files.withColumn("terms", _terms(F.col("text"))).where(F.size(among(anchors)) > 0)
-    some.select(F.monotonically_increasing_id().alias("row"), "path", "lines", among(weight).alias("terms")).write.parquet(f"{scratch}/some")
+            rarest.append((i, t, square[t]))
+            part += square[t]
+        bounds.append((i, license, terms, n, size, (part - (1 - least) * size) * (1 - 1e-9)))
+    templates = spark.createDataFrame(bounds, "template int, license string, terms array<string>, m int, size double, need double")
+    held = spark.createDataFrame(rarest, "template int, term string, w double")
+    anchors = {t for _, t, _ in rarest}
+    shared = F.filter("terms", lambda t: t.isin(sorted(anchors)) if anchors else F.lit(False))
+    some = files.withColumn("terms", _terms(F.col("text"))).where(F.size(shared) > 0)
+    some.select(F.monotonically_increasing_id().alias("row"), "path", "lines", shared.alias("terms")).write.parquet(f"{scratch}/some")
     some = spark.read.parquet(f"{scratch}/some")
     pairs = some.select("row", F.explode("terms").alias("term")).join(held, "term").groupBy("row", "template").agg(F.sum("w").alias("w"))
-    pairs = pairs.join(templates, "template").where(F.col("w") >= F.lit(least) * F.col("size")).drop("w")
+    pairs = pairs.join(templates, "template").where(F.col("w") >= F.col("need")).drop("w", "need")
     pairs.write.parquet(f"{scratch}/pairs")
     pairs = spark.read.parquet(f"{scratch}/pairs")
 
@@ -175,21 +235,43 @@ def _matched(files: DataFrame, rows: list, weight: dict[str, float], counts: Dat
         "words", F.transform("words", lambda x: x.withField("shared", F.when(F.array_contains("terms", x["term"]), x["w"]).otherwise(0.0)))
     )
     c = F.col
-    scored = both.select("row", "license", "size", "words", F.explode(_parts()).alias("part")).select(
-        "row", "license", "size", "part", F.slice("words", c("part.start") + 1, c("part.n")).alias("words")
+    scored = both.select("row", "license", "size", "words", (c("terms")[0] == TAG).alias("tag"), F.explode(_parts()).alias("part")).select(
+        "row", "license", "size", "tag", "part", F.slice("words", c("part.start") + 1, c("part.n")).alias("words")
     )
     # a word counts where the part has it first
     add = lambda field: F.aggregate("words", F.lit(0.0), lambda s, x: s + F.when(x["before"] < c("part.start"), x[field]).otherwise(0.0))
     scored = scored.withColumn("dot", add("shared")).where(c("dot") >= F.lit(least) * c("size"))
-    scored = scored.withColumn("score", F.round(c("dot") / F.sqrt(add("w") * c("size")), 6)).where(c("score") >= threshold)
-    lines = scored.select("row", "license", "score", c("words")[0]["line"].alias("line"))
-    top = F.min_by("license", F.struct(-c("score"), c("license"))).alias("license")
-    best = lines.groupBy("row", "line").agg(top, F.max("score").alias("score"))
-    return best.join(some.select("row", "path"), "row").select("path", "line", "license", "score")
+    # what else stands in the line of a tag doesn't matter
+    score = F.when(c("tag"), F.when(c("dot") >= c("size") * (1 - 1e-9), 1.0).otherwise(0.0)).otherwise(c("dot") / F.sqrt(add("w") * c("size")))
+    scored = scored.withColumn("score", F.round(score, 6)).where(c("score") >= threshold).select(
+        "row", "license", "score", "tag", "part.whole", F.round(c("dot") * c("score") * c("score"), 6).alias("held"),
+        c("words")[0]["line"].alias("from"), F.element_at("words", -1)["line"].alias("to"),
+        c("words")[F.floor((F.size("words") - 1) / 2).cast("int")]["line"].alias("middle"),
+    )
+    scored.write.parquet(f"{scratch}/scored")
+    scored = spark.read.parquet(f"{scratch}/scored")
+    lines = scored.withColumn("line", F.explode(F.sequence("from", "to")))
+    order = F.struct("whole", (-c("held")).alias("held"), (-c("score")).alias("score"), "license")
+    best = lines.where("not tag").groupBy("row", "line").agg(F.min(order).alias("o"))
+    best = best.select("row", "line", "o.license", (-c("o.score")).alias("score"))
+    # a part that only reaches over the edge of a better one is none: its license must be the best in its middle
+    middles = lines.where("not tag and line = middle").select("row", "line", "license").distinct()
+    sure = best.join(middles, ["row", "line", "license"], "left_semi").select("row", "license").distinct()
+    best = best.join(sure, ["row", "license"], "left_semi").select("row", "line", "license", "score")
+    tags = lines.where("tag").select("row", "line", "license", "score").distinct()
+    return best.union(tags).distinct().join(some.select("row", "path"), "row").select("path", "line", "license", "score")
 
 
 def _parts() -> Column:
-    """Parts of a text that are compared, as first word and number of words: each line."""
-    starts = F.filter("words", lambda x, i: (i == 0) | (F.try_element_at("words", i)["line"] < x["line"]))
-    begin = F.transform(starts, lambda x: x["at"])
-    return F.transform(begin, lambda s, i: F.struct(s.alias("start"), (F.coalesce(F.try_element_at(begin, i + 2), F.size("words")) - s).alias("n")))
+    """Parts of a text that are compared with a template of ``m`` words, as first word and number of words: each
+    line, the whole text if it is at most twice as long, and as many words as the template has, from each of its words on (of a long one: from each
+    line that begins with its first word)."""
+    c = F.col
+    new = lambda x, i: (i == 0) | (F.try_element_at("words", i)["line"] < x["line"])
+    part = lambda start, n, whole=False: F.struct(start.alias("start"), n.alias("n"), F.lit(whole).alias("whole"))
+    begin = F.transform(F.filter("words", new), lambda x: x["at"])
+    lines = F.transform(begin, lambda s, i: part(s, F.coalesce(F.try_element_at(begin, i + 2), F.size("words")) - s))
+    own = lambda x, i: F.when(c("m") <= LONG_WORDS, x["shared"] > 0).otherwise(new(x, i) & (x["term"] == c("terms")[0]))
+    runs = F.transform(F.filter("words", own), lambda x: part(x["at"], F.least(c("m"), F.size("words") - x["at"])))
+    short = (c("m") < TITLE_WORDS) | (c("terms")[0] == TAG)
+    return F.when(short, lines).otherwise(F.concat(lines, runs, F.filter(F.array(part(F.lit(0), F.size("words"), True)), lambda x: x["n"] <= 2 * c("m"))))

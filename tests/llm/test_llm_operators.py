@@ -293,6 +293,30 @@ def test_scores_of_lines_depend_on_shares_only(spark):
     assert abs(scores[0] - scores[1]) < 0.02
 
 
+def test_headers_titles_tags_and_whole_licence_texts(spark):
+    whole = dict(licenses.notices(spark).collect())
+    gnu = next(t for n, t in licenses.HEADERS if n == "GPL-3.0").split()
+    wrapped = "\n".join(" * " + " ".join(gnu[i : i + 7]) for i in range(0, len(gnu), 7))
+    files = {
+        "m/LICENSE": (["MIT"], "MIT License\n\nCopyright (c) 2020 Some One\n\n" + whole["MIT"]),
+        "m/flat": (["MIT"], "words before " * 30 + whole["MIT"].replace("\n", " ") + "and words after " * 30),
+        "b/two": (["BSD-2-Clause"], "Copyright 2020\n" + whole["BSD-2-Clause"]),
+        "b/three": (["BSD-3-Clause"], "Copyright 2020\n" + whole["BSD-3-Clause"]),
+        "g/header.c": (["GPL-3.0"], "/*\n" + wrapped + "\n */\n" + "int main() { return 0; }\n" * 200),
+        "g/COPYING": (["GPL-3.0"], whole["GPL-3.0"]),
+        "g/two/COPYING": (["GPL-2.0"], whole["GPL-2.0"]),
+        "t/mit": (["MIT"], "MIT License\n" + "other text\n" * 9),
+        "t/gnu": (["GPL-1.0-or-later"], "GNU GENERAL PUBLIC LICENSE\n" + "other text\n" * 9),
+        "s/one.c": (["Apache-2.0", "MIT"], "// SPDX-License-Identifier: MIT OR Apache-2.0\n" + "int x;\n" * 9),
+        "s/two.c": (["Apache-2.0"], "A line that is long and says it is licensed under the Apache License, Version 2.0 as all others here are\n" + "int x;\n" * 9),
+        "n/none": ([], "The license of a work is in version 2.0 of the notice, and the public may copy the software.\n" * 9),
+    }
+    frame = spark.createDataFrame([(k, t) for k, (_, t) in files.items()], "path string, text string")
+    found = {r["path"]: r for r in licenses.scan(frame, licenses.notices(spark), scratch=new_folder(spark, "t")).collect()}
+    assert {k: sorted(x["license"] for x in found[k]["own"]) for k in files} == {k: names for k, (names, _) in files.items()}
+    assert all(found[k]["licence_file"] for k in ("m/LICENSE", "b/two", "g/COPYING")) and not found["g/header.c"]["licence_file"]
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = SF.replace("0.001", "0.1")
     scores = QUERIES["op6_toxicity"](spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
