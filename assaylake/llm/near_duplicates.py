@@ -76,6 +76,16 @@ def _distinct(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return hashes[fresh], np.concatenate([[0], np.cumsum(np.bincount(owner[fresh], minlength=len(at) - 1))])
 
 
+def _fingerprints(hashes: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A fingerprint of 128 bits for each set, which is the key of its class."""
+    key = np.zeros((len(at) - 1, 2), np.uint64)
+    full = np.flatnonzero(np.diff(at))
+    if len(full):
+        for j in (0, 1):
+            key[full, j] = np.add.reduceat(arrays.mix(hashes + np.uint64(j + 1)), at[full])
+    return pa.array([x.tobytes() for x in key], pa.binary())
+
+
 def _signatures(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,13 +94,10 @@ def _signatures(k: int):
                 sizes = np.diff(at)
                 full = np.flatnonzero(sizes)
                 low = np.zeros((rows.num_rows, COORDINATES), np.int32)
-                key = np.zeros((rows.num_rows, 2), np.uint64)
                 if len(full):
                     for j, m in enumerate(_MULTIPLIERS):
                         low[full, j] = (np.minimum.reduceat(hashes * m, at[full]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                    for j in (0, 1):
-                        key[full, j] = np.add.reduceat(arrays.mix(hashes + np.uint64(j + 1)), at[full])
-                keys = pa.array([x.tobytes() for x in key], pa.binary())
+                keys = _fingerprints(hashes, at)
                 sig = pa.ListArray.from_arrays(pa.array(np.arange(0, low.size + 1, COORDINATES), pa.int32()), pa.array(low.ravel()))
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(sizes), keys, sig], names=["doc_id", "n_shingles", "cls", "sig"])
 
@@ -104,7 +111,7 @@ def _sets(k: int):
                 hashes, at = _distinct(*shingles(buf, offsets, k))
                 packed = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SET_BYTES]
                 sets = pa.array([packed[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), sets], names=["cid", "set"])
+                yield pa.RecordBatch.from_arrays([_fingerprints(hashes, at), sets], names=["cid", "set"])
 
     return run
 
@@ -144,7 +151,7 @@ class _Search:
         self.docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
         kind = self.docs.schema["doc_id"].dataType.simpleString()
         rows = self.docs.mapInArrow(_signatures(k), f"doc_id {kind}, n_shingles long, cls binary, sig array<int>")
-        self.rows, self.kind = self.written(rows, "rows"), kind
+        self.rows = self.written(rows, "rows")
 
     def written(self, frame: DataFrame, name: str) -> DataFrame:
         frame.write.parquet(f"{self.scratch}/{name}")
@@ -153,16 +160,21 @@ class _Search:
     def components(self, links: DataFrame, name: str) -> DataFrame:
         return connected_components(links, f"{self.scratch}/{name}")
 
+    def texts(self, wanted: DataFrame) -> DataFrame:
+        """The rows of the smallest id of each class asked for; an id may have texts of other classes too."""
+        ids = self.classes.join(wanted, "cid", "left_semi").select("doc_id").distinct()
+        return self.docs.join(ids, "doc_id", "left_semi")
+
     def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs whose full sets are similar enough."""
         pairs = self.written(pairs, f"{name}-pairs")
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        texts = self.docs.join(wanted, "doc_id", "left_semi")
-        sets = self.written(texts.mapInArrow(_sets(self.k), f"cid {self.kind}, set binary"), f"{name}-sets")
+        wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
+        sets = self.texts(wanted).mapInArrow(_sets(self.k), "cid binary, set binary")
+        sets = self.written(sets.join(wanted, "cid", "left_semi").dropDuplicates(["cid"]), f"{name}-sets")
         both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("set_a")), "a").join(
             sets.select(F.col("cid").alias("b"), F.col("set").alias("set_b")), "b"
         )
-        links = both.select("a", "b", "set_a", "set_b").mapInArrow(_similar(self.percent), f"a {self.kind}, b {self.kind}")
+        links = both.select("a", "b", "set_a", "set_b").mapInArrow(_similar(self.percent), "a binary, b binary")
         return self.written(links.distinct(), f"{name}-links")
 
     def apart(self, pairs: DataFrame, components: DataFrame) -> DataFrame:
@@ -178,9 +190,9 @@ class _Search:
         least = least_matches(self.percent)
         prefix = COORDINATES - least + SHARED
         classes = self.rows.where("n_shingles > 0 and doc_id is not null").groupBy("cls").agg(
-            F.min("doc_id").alias("cid"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")
+            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")
         )
-        classes = self.written(classes, "classes")
+        self.classes = classes = self.written(classes.withColumnRenamed("cls", "cid"), "classes")
         elements = classes.select("cid", F.posexplode("sig").alias("coordinate", "value"))
         counted = elements.groupBy("coordinate", "value").agg(F.count("*").alias("n")).where(F.col("n") > RARE[0])
         level = sum(((F.col("n") > bound).cast("int") for bound in RARE[1:]), F.lit(1))
@@ -233,8 +245,8 @@ class _Search:
 
     def rare_pairs(self, hot: DataFrame, components: DataFrame) -> DataFrame:
         """Candidates among the classes of long lists that are not yet connected, by their rarest shingles."""
-        texts = self.docs.join(hot.select(F.col("cid").alias("doc_id")), "doc_id", "left_semi")
-        sets = self.written(texts.mapInArrow(_sets_as_lists(self.k), f"cid {self.kind}, sh array<long>").dropDuplicates(["cid"]), "hot-sets")
+        sets = self.texts(hot).mapInArrow(_sets_as_lists(self.k), "cid binary, sh array<long>")
+        sets = self.written(sets.join(hot, "cid", "left_semi").dropDuplicates(["cid"]), "hot-sets")
         held = self.written(sets.select(F.explode("sh").alias("sh")).groupBy("sh").agg(F.count("*").alias("df")), "hot-counts")
         p = self.percent
         size = F.size("sh").cast("long")
@@ -272,7 +284,7 @@ def _sets_as_lists(k: int):
             for rows, buf, offsets in arrays.pieces(batch, "text"):
                 hashes, at = _distinct(*shingles(buf, offsets, k))
                 sets = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(hashes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), sets], names=["cid", "sh"])
+                yield pa.RecordBatch.from_arrays([_fingerprints(hashes, at), sets], names=["cid", "sh"])
 
     return run
 
@@ -283,7 +295,11 @@ def near_duplicates(
     """One row for each row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest id
     reachable over links) and ``kept`` (the id is its component's smallest). ``scratch`` is a shared folder."""
     search = _Search(docs, scratch, doc_id, text, words, percent)
-    links = search.links()
+    links = search.links()  # between classes
+    ids = search.classes.select("cid", "doc_id")
+    for side in ("a", "b"):
+        links = links.join(ids.select(F.col("cid").alias(side), F.col("doc_id").alias(f"id_{side}")), side)
+    links = links.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).where("a != b").distinct()
     same_id = search.rows.where("n_shingles > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("cid"))
     classes = search.written(same_id, "class-ids")
     # a document whose repeated rows differ connects their classes
