@@ -97,3 +97,64 @@ SELECT doc_id, len(b)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, c
     sha256(coalesce(kept, ''::BLOB)) AS kept_sha256
 FROM doc LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
 """
+
+ORACLE["op11_collocations"] = r"""
+WITH doc AS (
+    SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), piece AS (
+    SELECT lang, regexp_extract_all(u, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS u FROM doc)
+), gram AS (
+    SELECT lang, list_slice(w, i, i + m - 1) AS g, count(*) AS f
+    FROM piece, (VALUES (1), (2), (3), (4)) AS s(m), unnest(range(1, len(w) - m + 2)) AS t(i) GROUP BY ALL
+), total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM piece GROUP BY lang),
+cand AS (SELECT lang, g, f AS a FROM gram WHERE len(g) > 1 AND f >= 30),
+cut AS (
+    SELECT c.lang, c.g, c.a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a // (x.f + y.f))::BIGINT AS score
+    FROM (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM cand) AS c
+    JOIN gram AS x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, k)
+    JOIN gram AS y ON y.lang = c.lang AND y.g = list_slice(c.g, k + 1, len(c.g))
+), low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+held AS (
+    SELECT lang, list_slice(g, i, i + m - 1) AS g, max(a) AS held
+    FROM cand, (VALUES (2), (3)) AS s(m), unnest(range(1, len(g) - m + 2)) AS t(i) WHERE m < len(g) GROUP BY ALL
+), ranked AS (
+    SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM low LEFT JOIN held USING (lang, g)
+    WHERE held IS NULL OR 100::HUGEINT * held < 80::HUGEINT * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM ranked JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLE["op12_hard_negatives"] = r"""
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), pair AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS s
+    FROM v AS a, v AS b WHERE a.vec_id % 100 = 0
+), positive AS (
+    SELECT anchor_id, other AS positive_id, s AS positive_score FROM pair WHERE same AND other <> anchor_id
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, other)::INTEGER AS rank,
+    other AS negative_id, positive_score, s AS negative_score
+FROM positive JOIN pair USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * s AND 100 * s <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+ORACLE["op13_embedding_duplicates"] = r"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_dot_product(a.e, b.e) >= 0.98 * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))
+), reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach AS r JOIN link AS l ON r.b = l.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+links AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON least.a = vec_id LEFT JOIN links ON links.a = vec_id
+"""

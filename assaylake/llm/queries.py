@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assaylake.llm import bpe, decontamination, licenses, near_duplicates, quality_rules, repeated_phrases, secrets, suffix_arrays, token_counts, toxicity
+from assaylake.llm import (
+    bpe,
+    collocations,
+    decontamination,
+    embedding_duplicates,
+    hard_negatives,
+    licenses,
+    near_duplicates,
+    quality_rules,
+    repeated_phrases,
+    secrets,
+    suffix_arrays,
+    token_counts,
+    toxicity,
+)
 from assaylake.llm.oracle import ORACLE  # noqa: F401
 from assaylake.plans.scratch import new_folder
 
@@ -130,6 +144,23 @@ def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", n_spans, F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language that occur at least 30 times."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"), scratch=new_folder(spark, "collocations"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for each hundredth vector and its five best positives. Labels of each seventh vector are changed first."""
+    id_, label = F.col("vec_id"), F.col("label")
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(id_ % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
+    return hard_negatives.hard_negatives(rows, id_ % 100 == 0, scratch=new_folder(spark, "negatives"))
+
+
+def op13_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of vectors of one label with a cosine of 0.98 or more."""
+    return embedding_duplicates.near_duplicates(_table(spark, sf_dir, "embeddings"), scratch=new_folder(spark, "embeddings"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -141,4 +172,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_arrays": op10_suffix_arrays,
+    "op11_collocations": op11_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_embedding_duplicates": op13_embedding_duplicates,
 }
