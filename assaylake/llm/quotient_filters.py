@@ -119,7 +119,7 @@ def split(counter: Counter, half: int, shard_bits: int):
     """(shard, its part) for each shard that has keys."""
     shard = counter.high >> np.uint64(half - shard_bits)
     at = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.zeros(0, np.int64)
-    for a, b in zip(at, np.append(at[1:], len(shard)), strict=True):
+    for a, b in zip(at, [*at[1:], len(shard)] if len(at) else at, strict=True):
         yield int(shard[a]), Counter(counter.high[a:b], counter.low[a:b], counter.counts[a:b])
 
 
