@@ -32,23 +32,21 @@ def _counted(rows: DataFrame, write) -> int:
     return int(seen.get["rows"])
 
 
-def land_bronze(spark: SparkSession, source: str, paths: LakePaths, multi_line: bool = False) -> int:
-    """Copy a CSV source into bronze, replacing what was there; returns the number of its records. A missing
-    source raises. Records that don't fit the header, which CSV columns can't hold, go to ``bronze_rejects``
-    with their complete text (``land_rejects``)."""
-    rows = files.scan_csv_whole(spark, source, multi_line).filter(F.col(files.CORRUPT).isNull()).drop(files.CORRUPT)
-    return _counted(rows, lambda observed: files.write_csv(observed, paths.bronze))
+@dataclass(frozen=True)
+class Landed:
+    records: int
+    rejects: int
 
 
-def land_rejects(spark: SparkSession, source: str, paths: LakePaths, multi_line: bool = False) -> int:
-    """The records that ``land_bronze`` leaves out, as text; returns their number. It scans the source again."""
-    rows = files.scan_csv_whole(spark, source, multi_line)
-    # Spark finds misfits only in columns it reads, so all of them stay in the scan: the length of their array,
-    # which is never 0, is part of the result
-    fields = F.array(*(F.col(f"`{c}`") for c in rows.columns if c != files.CORRUPT))
-    misfit = rows.filter(F.col(files.CORRUPT).isNotNull())
-    lines = misfit.select(F.concat(files.CORRUPT, F.array_join(F.slice(fields, 1, 0), "")).alias("value"))
-    return _counted(lines, lambda observed: files.write_text(observed, paths.bronze_rejects))
+def land(spark: SparkSession, source: str, paths: LakePaths, multi_line: bool = False) -> Landed:
+    """Copy a CSV source into bronze, replacing what was there. A missing source raises. Records that don't fit the header, which
+    CSV columns can't hold, go to ``bronze_rejects`` with their complete text. The source is scanned once: both
+    folders are written, and both kinds of records counted, by the same stage."""
+    rows, seen = files.scan_csv_whole(spark, source, multi_line), Observation()
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(files.CORRUPT).alias("rejects"))
+    files.write_landed(counted, paths.bronze, paths.bronze_rejects)
+    rejects = int(seen.get["rejects"])
+    return Landed(int(seen.get["rows"]) - rejects, rejects)
 
 
 def build_silver(
@@ -69,21 +67,21 @@ def check_quality(
     """Check Silver and write the report; returns it as a dict.
 
     Failed checks are reported and do not stop anything unless ``fail_on_error`` is set. An empty
-    Silver raises. The columns and types checked are those of the stored files; for the rules on values, columns
-    of another type are read as the declared one, and what can't be read so is NULL. Silver is read twice: once for
+    Silver raises. The columns and types checked are those of all stored files, by their footers; for the rules on values, columns
+    of another type are read as the declared one, and what can't be read so is NULL, as is a column that some files lack. Silver is read twice: once for
     facts, which are written and give totals, samples and the tables of both whole distributions, and once for
     keys.
     """
     pin_utc(spark)
-    stored = files.scan_silver_as_stored(spark, paths.silver)
-    silver = cleaning.normalise_again(cleaning.as_declared(stored))
+    stored, schemas = files.scan_silver_as_stored(spark, paths.silver, cleaning.as_declared)
+    silver = cleaning.normalise_again(stored)
     with shuffle_sized_for(spark, files.folder_bytes(spark, paths.silver)):
         folder = new_folder(spark, "facts") + "/counted"
         files.write_table(engine.all_facts(silver), folder)
         counted = spark.read.parquet(folder)
         if counted.isEmpty():
             raise ValueError("quality check refused: the silver layer is empty")
-        files.write_line(report.report(engine.run_suite(silver, counted, stored.schema), run_at), paths.quality_report)
+        files.write_line(report.report(engine.run_suite(silver, counted, schemas), run_at), paths.quality_report)
         for column in engine.DISTRIBUTIONS:
             files.write_table(engine.distribution(counted, column), paths.quality_table(column))
     written = json.loads(spark.read.text(paths.quality_report).first()[0])
@@ -119,10 +117,10 @@ def run_lake(
     fail_on_error: bool = False,
     multi_line: bool = False,
 ) -> RunSummary:
-    """Bronze, Silver, quality, Gold, in this order. ``multi_line`` is for sources with quoted line breaks."""
-    bronze_rows = land_bronze(spark, source, paths, multi_line)
-    bronze_rejects = land_rejects(spark, source, paths, multi_line)
+    """Bronze, Silver, quality, Gold, in this order. ``multi_line`` is for sources with quoted line breaks. Each layer is
+    written beside the one it replaces, so a run that dies leaves the last complete ones."""
+    landed = land(spark, source, paths, multi_line)
     silver_rows = build_silver(spark, paths, loaded_at, multi_line)
     quality = check_quality(spark, paths, fail_on_error=fail_on_error)
     build_gold(spark, paths)
-    return RunSummary(bronze_rows, bronze_rejects, silver_rows, quality)
+    return RunSummary(landed.records, landed.rejects, silver_rows, quality)

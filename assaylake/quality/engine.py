@@ -246,12 +246,12 @@ def row_checks(rules: Iterable[R.RowRule], columns: Sequence[str]) -> list[str]:
     ]
 
 
-def schema_checks(schema: T.StructType) -> list[str]:
-    """Checks on column names and types. They read no values."""
-    made = [_check(R.COLUMN_SET, "column_set", None, held=set(schema.names) == set(R.EXPECTED_COLUMNS))]
+def schema_checks(schemas: Sequence[T.StructType]) -> list[str]:
+    """Checks on column names and types, which each schema of the stored files must pass. They read no values."""
+    made = [_check(R.COLUMN_SET, "column_set", None, held=all(set(s.names) == set(R.EXPECTED_COLUMNS) for s in schemas))]
     for rule in R.TYPE_RULES:
-        actual = schema[rule.column].dataType if rule.column in schema.names else None
-        made.append(_check(rule.name, rule.kind, rule.column, held=isinstance(actual, rule.expected)))
+        held = all(rule.column in s.names and isinstance(s[rule.column].dataType, rule.expected) for s in schemas)
+        made.append(_check(rule.name, rule.kind, rule.column, held=held))
     return made
 
 
@@ -265,13 +265,13 @@ def unique_check(columns: Sequence[str]) -> str:
     return _check(R.UNIQUE_KEY, "unique", None, KEY_SAMPLES, None if complete else False)
 
 
-def suite_checks(schema: T.StructType) -> list[str]:
-    """The 35 checks of the suite."""
+def suite_checks(schemas: Sequence[T.StructType], columns: Sequence[str]) -> list[str]:
+    """The 35 checks of the suite. ``schemas`` are those of the stored files, ``columns`` those of the rows."""
     return [
-        *schema_checks(schema),
-        *row_checks(R.ROW_RULES, schema.names),
-        distinct_check(schema.names),
-        unique_check(schema.names),
+        *schema_checks(schemas),
+        *row_checks(R.ROW_RULES, columns),
+        distinct_check(columns),
+        unique_check(columns),
     ]
 
 
@@ -325,15 +325,15 @@ def all_findings(rows: DataFrame, counted: DataFrame | None = None) -> DataFrame
     return gather(first)
 
 
-def run_suite(rows: DataFrame, counted: DataFrame | None = None, stored: T.StructType | None = None) -> DataFrame:
-    """Both passes and all checks: one row with ``found``, ``suite`` and ``conditional``. ``stored`` is the schema
-    that the checks on columns and types judge, if it isn't that of ``rows``."""
-    judged = judge(all_findings(rows, counted), suite_checks(stored or rows.schema))
+def run_suite(rows: DataFrame, counted: DataFrame | None = None, stored: Sequence[T.StructType] = ()) -> DataFrame:
+    """Both passes and all checks: one row with ``found``, ``suite`` and ``conditional``. ``stored`` are the schemas
+    that the checks on columns and types judge, if they aren't that of ``rows``."""
+    judged = judge(all_findings(rows, counted), suite_checks(stored or [rows.schema], rows.columns))
     return judge(judged, row_checks(R.CONDITIONAL_RULES, rows.columns), "conditional")
 
 
 def run_schema_checks(rows: DataFrame) -> DataFrame:
-    return result_rows(judge(gather(row_counts(rows, ())), schema_checks(rows.schema)))
+    return result_rows(judge(gather(row_counts(rows, ())), schema_checks([rows.schema])))
 
 
 def run_distinct_check(rows: DataFrame) -> DataFrame:

@@ -460,6 +460,9 @@ FROM events WHERE event_id % 10 IN (0, 1)""",
     "dq_schema_drift_type": _drift(
         "('expect_column_values_to_be_of_type', 'amount'), ('expect_column_values_to_be_of_type', 'login_frequency')"
     ),
+    "dq_schema_drift_mixed": _drift(
+        "('expect_table_columns_to_match_set', NULL), ('expect_column_values_to_be_of_type', 'session_duration')"
+    ),
     "dq_normalise": _sql("SELECT * FROM tx"),
     "dq_schema_checks": _sql(", " + _finish(_schema_results("tx", False)) + " SELECT * FROM results"),
     "dq_not_null": _results("typed", _NOT_NULL),

@@ -168,8 +168,7 @@ def landing_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
     whole = lines.select(F.when(first, F.concat(F.lit("a,b,c\n"), "value")).otherwise(F.col("value")).alias("value"))
     files.write_text(whole, paths.root + "/source")
-    jobs.land_bronze(spark, paths.root + "/source", paths, multi_line=True)
-    jobs.land_rejects(spark, paths.root + "/source", paths, multi_line=True)
+    jobs.land(spark, paths.root + "/source", paths, multi_line=True)
     landed = files.scan_csv(spark, paths.bronze, multi_line=True).groupBy("c").agg(F.count(F.lit(1)).alias("records"))
     rejected = spark.read.text(paths.bronze_rejects)
     return landed.select(F.lit("bronze").alias("layer"), F.col("c").alias("value"), "records").union(
@@ -302,11 +301,11 @@ def dq_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_leaves(spark.read.text(folder).withColumnRenamed("value", "metrics_json"))
 
 
-def _drifted(spark: SparkSession, sf_dir: str, label: str, change) -> DataFrame:
+def _drifted(spark: SparkSession, sf_dir: str, label: str, change, write=files.write_silver) -> DataFrame:
     """The schema checks of a quality job's report over a stored Silver with other columns or types: each
     check with its outcome, told from the report's list of failures."""
     paths = LakePaths(new_folder(spark, label))
-    files.write_silver(change(tx.raw_silver_stamped(spark, sf_dir)), paths.silver)
+    write(change(tx.raw_silver_stamped(spark, sf_dir)), paths.silver)
     jobs.check_quality(spark, paths, tx.LOADED_AT)
     failed = F.from_json(F.get_json_object("value", "$.failed_expectations"), _FAILURE)
     rows = spark.read.text(paths.quality_report).select(F.inline(failed))
@@ -332,6 +331,25 @@ def dq_schema_drift_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_FOLDER_DRIFTS = {
+    "purchase": lambda rows: rows,
+    "sale": lambda rows: rows.withColumn("channel", F.lit("web")),
+    "transfer": lambda rows: rows.withColumn("session_duration", F.col("session_duration").cast("bigint")),
+}
+
+
+def _write_mixed(rows: DataFrame, path: str) -> None:
+    """Silver whose folders have columns and types of their own."""
+    for kind, change in _FOLDER_DRIFTS.items():
+        some = rows.filter(F.col("transaction_type") == kind).drop("transaction_type")
+        files.write_table(change(some), f"{path}/transaction_type={kind}")
+
+
+def dq_schema_drift_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder has an extra column and another a wider type; the files of the first one are as declared."""
+    return _drifted(spark, sf_dir, "drift_mixed", lambda rows: rows, _write_mixed)
+
+
 def dq_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed rows whose text was put in capitals and padded, cleaned again."""
     noisy = {c: F.concat(F.lit(" "), F.upper(c), F.lit(" ")) for c in (*S.CODE_COLUMNS, "location_region")}
@@ -411,6 +429,7 @@ QUERIES: dict[str, Query] = {
     "dq_schema_drift_extra": dq_schema_drift_extra,
     "dq_schema_drift_missing": dq_schema_drift_missing,
     "dq_schema_drift_type": dq_schema_drift_type,
+    "dq_schema_drift_mixed": dq_schema_drift_mixed,
     "dq_normalise": dq_normalise,
     "dq_schema_checks": lambda spark, d: engine.run_schema_checks(tx.typed(spark, d)),
     "dq_not_null": lambda spark, d: engine.run_row_rules(_typed(spark, d), _rules("not_null")),

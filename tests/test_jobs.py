@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assaylake import catalog
 from assaylake import schemas as S
+from assaylake.operators import cleaning
 from assaylake.paths import LakePaths
 from assaylake.plans import jobs, scratch, sizing
 from assaylake.quality import engine, report
@@ -66,12 +67,12 @@ def _rows_shown(distribution: dict) -> int:
 def test_the_quality_job_scans_silver_twice(spark, lake):
     # facts are written in one scan; what is left of the suite counts keys in the other
     paths, _ = lake
-    silver = files.scan_silver_as_stored(spark, paths.silver)
+    silver, schemas = files.scan_silver_as_stored(spark, paths.silver, cleaning.as_declared)
     folder = scratch.new_folder(spark, "facts") + "/counted"
     facts = engine.all_facts(silver)
     facts.write.parquet(folder)
     facts.collect()
-    suite = report.report(engine.run_suite(silver, spark.read.parquet(folder), silver.schema))
+    suite = report.report(engine.run_suite(silver, spark.read.parquet(folder), schemas))
     suite.collect()
     assert executed_plan(facts).count("FileScan parquet") == 1
     plan = executed_plan(suite)
@@ -94,12 +95,115 @@ def test_ragged_lines_are_kept_whole(spark, tmp_path):
     (tmp_path / "source").mkdir()
     (tmp_path / "source" / "a.csv").write_text('a,b\n1,2\n1,2,3\n4\n5,"x, y"\n')
     paths = LakePaths(str(tmp_path / "lake"))
-    assert jobs.land_bronze(spark, str(tmp_path / "source"), paths) == 2
-    assert jobs.land_rejects(spark, str(tmp_path / "source"), paths) == 2
+    assert jobs.land(spark, str(tmp_path / "source"), paths) == jobs.Landed(2, 2)
     assert {tuple(r) for r in files.scan_csv(spark, paths.bronze).collect()} == {("1", "2"), ("5", "x, y")}
     assert {r[0] for r in spark.read.text(paths.bronze_rejects).collect()} == {"1,2,3", "4"}
 
 
+def test_drift_of_any_file_is_reported(spark, silver, tmp_path):
+    """Columns and types that only some files have, also files in the middle of a folder; values are still judged."""
+    rows = silver(transaction(), transaction(login_frequency=-1, receiving_address="0x1"))
+    drifts = {
+        "extra": (lambda r: r.withColumn("channel", F.lit("web")), {("expect_table_columns_to_match_set", None)}),
+        "missing": (lambda r: r.drop("age_group"), {("expect_table_columns_to_match_set", None), ("expect_column_values_to_not_be_null", "age_group")}),
+        "wider": (lambda r: r.withColumn("login_frequency", F.col("login_frequency").cast("bigint")), {("expect_column_values_to_be_of_type", "login_frequency")}),
+        "text": (lambda r: r.withColumn("amount", F.lit("7.5")), {("expect_column_values_to_be_of_type", "amount")}),
+    }
+    for kind, (name, (change, expected)) in zip(("sale", "transfer", "purchase", "sale"), drifts.items(), strict=True):
+        paths = LakePaths(str(tmp_path / name))
+        for folder in ("purchase", "sale", "transfer"):
+            some = rows.drop("transaction_type").withColumn("sending_address", F.concat(F.lit(folder), "sending_address")).repartition(2)
+            files.write_table(some, f"{paths.silver}/transaction_type={folder}")
+            if folder == kind:
+                change(some.limit(1)).write.mode("append").parquet(f"{paths.silver}/transaction_type={folder}")
+        schemas = files.stored_schemas(spark, paths.silver)
+        assert len(schemas) == 2 and len(schemas[1][1]) == 1 and f"={kind}/" in schemas[1][1][0]
+        report_ = jobs.check_quality(spark, paths)
+        found = {(f["expectation"], f["column"]) for f in report_["failed_expectations"]}
+        assert expected <= found and ("expect_column_values_to_match_regex", "receiving_address") in found
+        drifted = {f for f in found if f[0] in ("expect_table_columns_to_match_set", "expect_column_values_to_be_of_type")}
+        assert drifted == {e for e in expected if e[0] != "expect_column_values_to_not_be_null"}
+        assert report_["total_records"] == 7
+
+
+def test_many_batches_of_footers(spark, silver, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_FOOTERS_AT_ONCE", 2)
+    files.write_silver(silver(*(transaction(sending_address=str(i)) for i in range(5))).repartition(5), str(tmp_path / "s"))
+    (tmp_path / "s" / "_hidden").mkdir()
+    (tmp_path / "s" / "_hidden" / "x.parquet").write_text("no footer")
+    ((schema, names),) = files.stored_schemas(spark, str(tmp_path / "s"))
+    assert len(names) == len(list((tmp_path / "s").rglob("part-*.parquet"))) > 2 and set(schema.names) == set(S.SILVER.names)
+
+
+def test_landing_scans_the_source_once(spark, tmp_path):
+    (tmp_path / "source").mkdir()
+    for n in range(3):
+        (tmp_path / "source" / f"{n}.csv").write_text("a,b\n" + f"{n},1\n{n}\n" * 50)
+    tracker, group = spark.sparkContext.statusTracker(), "one-scan"
+    read = []
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert jobs.land(spark, str(tmp_path / "source"), LakePaths(str(tmp_path / "lake"))) == jobs.Landed(150, 150)
+        for job in tracker.getJobIdsForGroup(group):
+            read += [tracker.getStageInfo(s).numTasks for s in tracker.getJobInfo(job).stageIds if tracker.getStageInfo(s)]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # one job may read the first line for the names; one reads all files
+    assert len([n for n in read if n >= 3]) <= 1 and len(read) <= 2
+
+
+def test_landing_without_misfits_or_records(spark, tmp_path):
+    for name, text, landed in (("all", "a,b\n1,2\n", (1, 0)), ("none", "a,b\n", (0, 0)), ("bad", "a,b\n1\n", (0, 1))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.csv").write_text(text)
+        paths = LakePaths(str(tmp_path / f"lake-{name}"))
+        assert jobs.land(spark, str(tmp_path / name), paths) == jobs.Landed(*landed)
+        assert spark.read.text(paths.bronze_rejects).count() == landed[1]
+        if landed[0] or landed[1]:
+            assert files.scan_csv(spark, paths.bronze).columns == ["a", "b"] and files.scan_csv(spark, paths.bronze).count() == landed[0]
+
+
+def test_values_survive_landing(spark, tmp_path):
+    (tmp_path / "source").mkdir()
+    (tmp_path / "source" / "x.csv").write_text('a,"b,c"\n" x ","q ""z"" \\ y"\n,""\n"two\nlines",\\\n')
+    paths = LakePaths(str(tmp_path / "lake"))
+    before = files.scan_csv(spark, str(tmp_path / "source"), multi_line=True)
+    jobs.land(spark, str(tmp_path / "source"), paths, multi_line=True)
+    after = files.scan_csv(spark, paths.bronze, multi_line=True)
+    assert after.columns == before.columns == ["a", "b,c"]
+    assert sorted(map(str, after.collect())) == sorted(map(str, before.collect()))
+
+
+def test_a_job_that_dies_leaves_the_last_layer(spark, raw, tmp_path, monkeypatch):
+    paths = LakePaths(str(tmp_path / "lake"))
+    files.write_csv(raw(raw_row()), str(tmp_path / "source"))
+    jobs.run_lake(spark, str(tmp_path / "source"), paths, loaded_at=T0)
+    before = {p: sorted(map(str, spark.read.parquet(p).collect())) for p in (paths.silver, paths.gold("fraud_credit"))}
+    clean, risk = cleaning.clean, jobs.marts.risk_by_region
+
+    def broken(frame):
+        """Some tasks finish, one fails."""
+        more = frame.crossJoin(spark.range(8).repartition(4))
+        return more.withColumn("location_region", F.when(F.col("id") == 7, F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("location_region"))).drop("id")
+
+    monkeypatch.setattr(jobs.cleaning, "clean", lambda *a: broken(clean(*a)))
+    monkeypatch.setattr(jobs.marts, "risk_by_region", lambda *a: broken(risk(*a)))
+    for job in (lambda: jobs.build_silver(spark, paths, T0), lambda: jobs.build_gold(spark, paths)):
+        with pytest.raises(Exception, match="lost"):
+            job()
+    for path, rows in before.items():
+        assert sorted(map(str, spark.read.parquet(path).collect())) == rows
+    assert files.scan_table(spark, "location_region_risk_score", paths.gold("location_region_risk_score")).count() == 1
+    assert not [p for layer in ("silver", "gold") for p in (tmp_path / "lake" / layer).iterdir() if p.name.startswith("_")]
+
+
+def test_a_failed_swap_puts_the_old_folder_back(spark, tmp_path):
+    files.write_text(spark.createDataFrame([("old",)], "value string"), str(tmp_path / "t"))
+    with pytest.raises(Exception):  # noqa: B017
+        files.replace_folders(spark, {str(tmp_path / "nothing"): str(tmp_path / "t")})
+    assert spark.read.text(str(tmp_path / "t")).first()[0] == "old"
+
+
 def test_quality_stops_a_run_only_on_request(spark, lake):
     with pytest.raises(ValueError, match="quality check failed"):
         jobs.check_quality(spark, lake[0], fail_on_error=True)
@@ -120,13 +224,13 @@ def test_catalog(spark, lake):
 
 def test_missing_source_raises(spark, tmp_path):
     with pytest.raises(AnalysisException):
-        jobs.land_bronze(spark, str(tmp_path / "nowhere"), LakePaths(str(tmp_path)))
+        jobs.land(spark, str(tmp_path / "nowhere"), LakePaths(str(tmp_path)))
 
 
 def test_no_valid_rows(spark, raw, tmp_path):
     paths = LakePaths(str(tmp_path))
     files.write_csv(raw(raw_row(anomaly="unknown")), str(tmp_path / "source"))
-    assert jobs.land_bronze(spark, str(tmp_path / "source"), paths) == 1
+    assert jobs.land(spark, str(tmp_path / "source"), paths) == jobs.Landed(1, 0)
     assert jobs.build_silver(spark, paths) == 0
     with pytest.raises(ValueError, match="empty"):
         jobs.check_quality(spark, paths)
@@ -136,7 +240,7 @@ def test_landing_replaces_what_was_there(spark, raw, tmp_path):
     paths = LakePaths(str(tmp_path))
     for amount in ("1", "2"):
         files.write_csv(raw(raw_row(amount=amount)), str(tmp_path / f"source{amount}"))
-        jobs.land_bronze(spark, str(tmp_path / f"source{amount}"), paths)
+        jobs.land(spark, str(tmp_path / f"source{amount}"), paths)
     assert [r["amount"] for r in files.scan_csv(spark, paths.bronze).collect()] == ["2"]
 
 
