@@ -19,6 +19,7 @@ tables of documents, labels or benchmark items pass. ORACLE_SQL is None, as lear
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -43,9 +44,13 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     found = near_duplicates.near_duplicates(docs, scratch=scratch)
     found.where("kept and doc_id is not null").select("doc_id").distinct().write.parquet(f"{scratch}/kept")
     kept = docs.join(spark.read.parquet(f"{scratch}/kept").hint("shuffle_hash"), "doc_id", "left_semi")
-    # rows of one id are one document
+    # rows of one id are one document: the smallest, by the columns that have an order first
+    no_order = [f.name for f in docs.schema if re.search("map<|variant", f.dataType.simpleString())]
+    order = [_name(c) for c in docs.columns if c not in no_order]
+    if no_order:
+        order.append(F.to_json(F.struct(*map(_name, no_order))))
     row = F.struct(*map(_name, docs.columns))
-    one = kept.groupBy("doc_id").agg(F.min(row).alias("_row")).select("_row.*")
+    one = kept.groupBy("doc_id").agg(F.min_by(row, F.struct(*order)).alias("_row")).select("_row.*")
     return one.unionByName(docs.where("doc_id is null"))
 
 
