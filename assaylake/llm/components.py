@@ -64,12 +64,15 @@ def connected_components(links: DataFrame, scratch: str, a: str = "a", b: str =
     spark = links.sparkSession
     pair = "u long, v long"
     edges = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v").mapInArrow(_reduced, pair)
-    step = 0
+    edges.write.parquet(f"{scratch}/links")
+    edges, step = spark.read.parquet(f"{scratch}/links"), 0
     while True:
-        path = f"{scratch}/star-{step}"
-        edges.distinct().write.parquet(path)
-        edges = spark.read.parquet(path)
-        if _are_stars(edges):
+        # as many tasks as hold a bounded number of links each; one task alone makes stars of all it has
+        tasks = max(1, -(-edges.count() // MOST_LINKS))
+        edges = edges.coalesce(tasks).mapInArrow(_reduced, pair)
+        (edges if tasks == 1 else edges.distinct()).write.parquet(f"{scratch}/star-{step}")
+        edges = spark.read.parquet(f"{scratch}/star-{step}")
+        if tasks == 1 or _are_stars(edges):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
         # large star: every larger neighbour is linked with the smallest neighbour
         both = edges.union(edges.select("v", "u"))
@@ -79,7 +82,8 @@ def connected_components(links: DataFrame, scratch: str, a: str = "a", b: str =
         # small star: smaller neighbours and the node itself are linked with the smallest
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         edges = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m"))
-        edges = edges.where("u <> v").mapInArrow(_reduced, pair)
+        edges.where("u <> v").write.parquet(f"{scratch}/round-{step}")
+        edges = spark.read.parquet(f"{scratch}/round-{step}")
         step += 1
 
 

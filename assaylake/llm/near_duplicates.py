@@ -12,9 +12,8 @@ confirmed on the full sets of shingle fingerprints (48 bits or more; a count is
    signatures share ``shared`` coordinates. Pairs that meet in short lists are counted, and those at or above the threshold kept.
 4. Long lists are not merged pair by pair. Their members are linked with the class that leads most of their lists, and all that
    share a long list are one group of candidates.
-5. Pairs are confirmed in rounds: the best partner of smaller id for each class, then only the pairs that still
-   connect different components.
-6. Groups that are not one component by then are compared in blocks: classes outside a group's largest component with
+5. Pairs are confirmed; they are few for each class, as they come from short lists or lead to a leader.
+6. Groups that are not one component then are compared in blocks: classes outside a group's largest component with
    all classes of a similar size. A task counts shared shingles of two blocks by a matrix product and sends one link for each class at
    most. So no group is expanded into its pairs, and no list is cut.
 
@@ -228,21 +227,15 @@ class _Search:
         sets = texts.mapInArrow(_sets(self.k), "cls binary, set binary")
         return self.written(sets.join(some.select("cid", "cls"), "cls").groupBy("cid").agg(F.first("set").alias("set")), name)
 
-    def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar enough."""
-        pairs = self.written(pairs, f"{name}-pairs")
-        sets = self.sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct(), f"{name}-sets")
+        pairs = self.written(pairs, "pairs")
+        sets = self.sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct(), "sets")
         both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("set_a")), "a").join(
             sets.select(F.col("cid").alias("b"), F.col("set").alias("set_b")), "b"
         )
         links = both.select("a", "b", "set_a", "set_b").mapInArrow(_similar(self.percent), "a long, b long")
-        return self.written(links, f"{name}-links")
-
-    def apart(self, pairs: DataFrame, components: DataFrame) -> DataFrame:
-        """The pairs that lie in different components so far."""
-        of = lambda side: components.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
-        both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-        return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+        return self.written(links, "links")
 
     def close(self, a: Column, b: Column) -> Column:
         return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
@@ -277,23 +270,17 @@ class _Search:
         )
 
         def matched(candidates: DataFrame) -> DataFrame:
-            """Candidates of fitting sizes that agree often enough, with the number of coordinates."""
-            both = candidates.select("a", "b").join(of("a"), "a").join(of("b"), "b").where(self.close(F.col("na"), F.col("nb")))
-            return both.select("a", "b", agree.alias("agree")).where(F.col("agree") >= least)
-
-        pairs = self.written(matched(met), "pairs")
-        # first each class with its best partner of smaller id, then what still lies apart
-        some = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", "a")).alias("a")).select("a", "b")
-        pairs = pairs.select("a", "b")
+            """Candidates of fitting sizes that agree often enough."""
+            both = candidates.join(of("a"), "a").join(of("b"), "b").where(self.close(F.col("na"), F.col("nb")))
+            return both.where(agree >= least).select("a", "b")
+
         long = posts.where(F.col("level") == len(RARE)).select("cid", "coordinate", "value")
         leaders = self.written(long.groupBy("coordinate", "value").agg(F.min("cid").alias("a")), "leaders")
         led = long.join(leaders, ["coordinate", "value"]).where("a < cid").groupBy("a", F.col("cid").alias("b")).agg(F.count("*").alias("n"))
         led = self.written(led, "led")
-        stars = matched(led.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a"))).select("a", "b")
-        links = self.confirmed(some.union(stars).distinct(), "first")
+        stars = led.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
+        links = self.confirmed(matched(met.select("a", "b").union(stars).distinct()))
         found = self.components(links, "first-components")
-        links = links.union(self.confirmed(self.apart(pairs, found), "second"))
-        found = self.components(links, "second-components")
         return links.union(self.grouped(self.components(led, "groups"), found))
 
     def grouped(self, groups: DataFrame, components: DataFrame) -> DataFrame:
