@@ -13,7 +13,7 @@ template's rarest words it has at least a known weight; texts without that are o
 is looked at. Only the others are joined with the counts.
 
 A file's own licenses are those of its matching lines. A file is a licence file if it has a usual name, or if
-at least half of its lines match; its directory then has its licenses. A file without a licence of its own
+it has at least ``LICENCE_SIZE`` characters and more than half of its lines match; its directory then has its licenses. A file without a licence of its own
 inherits those of the nearest ancestor directory that has some, by joins of directories and their ancestors.
 All of it is DataFrame functions.
 
@@ -97,6 +97,7 @@ TITLES = (
 TAG = "spdx-license-identifier"
 TITLE_WORDS = 5  # shorter templates are titles, which only a whole line can be
 LONG_WORDS = 400
+LICENCE_SIZE = 200
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([-._][^/]*)?$"
 
 _WORD_GAP = r"[^0-9a-z+.-]+"
@@ -153,7 +154,9 @@ def scan(
     matched = _matched(files.select(F.col(path).cast("string").alias("path"), whole.alias("text"), lines.alias("lines")), rows, weight, counts.select("term", (rare * rare).alias("w")), scratch, threshold)
     matched.write.parquet(f"{scratch}/matched")
     matched = spark.read.parquet(f"{scratch}/matched")
-    totals = files.select(F.col(path).cast("string").alias("path"), F.size(lines).alias("lines")).groupBy("path").agg(F.max("lines").alias("lines"))
+    totals = files.select(F.col(path).cast("string").alias("path"), F.size(lines).alias("lines"), F.length(whole).alias("size")).groupBy("path").agg(
+        F.max("lines").alias("lines"), F.max("size").alias("size")
+    )
     best = matched.groupBy("path", "license").agg(
         F.max(F.struct("score", (-F.col("line")).alias("line"))).alias("top"), F.count_distinct("line").alias("n")
     )
@@ -164,7 +167,7 @@ def scan(
     owned = totals.join(own.where("path is not null"), "path", "left").select(
         "path",
         F.transform("o", lambda x: F.struct(x["license"].alias("license"), (-x["k"]).alias("score"), x["line"].alias("line"))).alias("own"),
-        F.coalesce((F.col("o").isNotNull()) & (F.col("path").rlike(LICENCE_FILE) | (2 * F.col("hits") >= F.col("lines"))), F.lit(False)).alias("licence_file"),
+        F.coalesce((F.col("o").isNotNull()) & (F.col("path").rlike(LICENCE_FILE) | ((2 * F.col("hits") > F.col("lines")) & (F.col("size") >= LICENCE_SIZE))), F.lit(False)).alias("licence_file"),
         _parent(F.col("path")).alias("dir"),
     )
     owned.write.parquet(f"{scratch}/owned")

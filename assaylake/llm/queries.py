@@ -29,13 +29,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses of every document, its path being source/lang/doc_id. A document made up mostly of notices is the
-    licence file of its directory."""
+    licence file of its directory. Rows of one path are one file, and each of them gets its licenses."""
     docs = _table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    name = lambda c: F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), "/", "%2F")
+    path = F.concat_ws("/", name("source"), name("lang"), name("doc_id"))
     files = docs.select(path.alias("path"), "text")
     found = licenses.scan(files, licenses.notices(spark), scratch=new_folder(spark, "licenses"))
-    return found.select(
-        F.regexp_extract("path", "[^/]*$", 0).cast("long").alias("doc_id"),
+    return docs.select("doc_id", path.alias("path")).join(found, "path").select(
+        "doc_id",
         F.array_join("own.license", ",").alias("own_licenses"),
         F.try_element_at("own.score", F.lit(1)).alias("best_score"),
         "licence_file",
