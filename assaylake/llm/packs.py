@@ -81,16 +81,20 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def write_packs(docs: DataFrame, scratch: str, doc_id: str, text: str) -> tuple[DataFrame, int]:
-    """The packs of ``docs`` as a bucketed table below ``scratch``, and the number of its buckets, which is also
-    that of the shards. The id must be a whole number."""
+    """The packs of ``docs`` as bucketed files below ``scratch``, and the number of shards. The files are read by
+    buckets without a table in the catalog. Tasks take packs one by one, so buckets may grow beyond the most
+    that the session allows; shards don't. The id must be a whole number."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_BYTES))
     table = f"packs_{uuid.uuid4().hex}"
     packs = rows.mapInArrow(_pack, "pack long, ids array<long>, texts array<string>")
-    packs.write.option("path", f"{scratch}/packs").bucketBy(n, "pack").saveAsTable(table)
-    return spark.table(table), n
+    buckets = min(n, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    packs.write.option("path", f"{scratch}/packs").bucketBy(buckets, "pack").saveAsTable(table)
+    packs = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the files stay, and the frame has resolved them
+    return packs, n
 
 
 def _chosen(units: Units, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,7 +140,8 @@ def _by_bucket(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _bucket(hashes: np.ndarray, n: int) -> np.ndarray:
-    return ((hashes >> np.uint64(44)) % np.uint64(n)).astype(np.int64)
+    """Shards by the high 24 bits, beside the 40 that are sent."""
+    return ((hashes >> np.uint64(40)) % np.uint64(n)).astype(np.int64)
 
 
 def _contents(batches: Iterator[pa.RecordBatch], kind: Kind):

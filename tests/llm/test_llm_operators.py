@@ -134,6 +134,47 @@ def test_suffix_blocks_are_merged(spark, monkeypatch):
         assert suffix_arrays.smallest_ids(segments, 50).tolist() == expected
 
 
+def test_segments_that_meet_nothing_are_their_own(spark):
+    rng = np.random.default_rng(5)
+    grams = [rng.integers(97, 123, 24, np.uint8) for _ in range(9)]
+    parts, gram_at, windows = [], [], []
+    for i in range(120):  # the last grams are rare, and some have one segment only
+        before, after = int(rng.integers(0, 27)), int(rng.integers(0, 27))
+        if before + after < 26:
+            after = 26 - before
+        sides = rng.integers(97, 99, before + after, np.uint8)
+        if i % 3:
+            sides[:] = 97
+        gram = grams[min(i % 8, 7)] if i else grams[8]
+        parts.append(np.concatenate([sides[:before], gram, sides[before:]]))
+        gram_at.append(before)
+        windows.append(len(parts[-1]) - 49)
+    at = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    segments = suffix_arrays.packs.Segments(np.concatenate(parts), at, np.array(gram_at), np.array(windows), rng.permutation(120))
+    assert suffix_arrays.smallest_shared_ids(segments, 50).tolist() == suffix_arrays.smallest_ids(segments, 50).tolist()
+
+
+@pytest.mark.parametrize("most", [50, 1 << 21, 1 << 40])
+def test_pairs_are_ordered_stably(most):
+    rng = np.random.default_rng(7)
+    first, second = rng.integers(0, 9, 500), rng.integers(0, 9, 500)
+    assert suffix_arrays._order_of_pairs(first, second, max(most, 500)).tolist() == np.lexsort((second, first)).tolist()
+
+
+def test_packs_leave_no_table_and_need_no_more_buckets_than_allowed(spark):
+    docs = spark.createDataFrame([(i, f"{i} " + "a passage " * 40) for i in range(20)], "doc_id long, text string")
+    before, most = {t.name for t in spark.catalog.listTables()}, spark.conf.get("spark.sql.sources.bucketing.maxBuckets")
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "3")
+    try:
+        found = suffix_arrays.remove_repeated_strings(docs, scratch=new_folder(spark, "t"))
+        assert {t.name for t in spark.catalog.listTables()} == before
+        got = sorted((r["doc_id"], r["n_removed"]) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", most)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert [n for _, n in got] == [0] + [n for _, n in got][1:] and all(n >= 300 for _, n in got[1:]) and len(got) == len(rows)
+
+
 def test_suffix_order_and_prefixes():
     text = np.frombuffer(b"banana$bananas\x00\x00a", np.uint8)
     at = np.array([0, 7, 17])
