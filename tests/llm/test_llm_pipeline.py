@@ -82,7 +82,10 @@ def test_queries_without_sql():
     assert set(QUERIES) - set(ORACLE) == {q for q in QUERIES if q.split("_")[0] in ("op1", "op4", "op6", "op7", "op8", "op9")}
 
 
-ODD_QUERIES = ("op2_decontamination", "op4_byte_bpe", "op5_secrets", "op7_minhash", "op8_licenses", "op9_quality_rules", "op11_collocations")
+ODD_QUERIES = (
+    "op1_token_counts", "op2_decontamination", "op3_phrases", "op4_byte_bpe", "op5_secrets", "op6_toxicity", "op7_minhash", "op8_licenses",
+    "op9_quality_rules", "op10_suffix_arrays", "op11_collocations",
+)
 
 
 @pytest.mark.parametrize("name", ODD_QUERIES)
