@@ -4,13 +4,15 @@ Every part is a vector over its distinct words, weighted by their rarity over al
 rarely repeats a word, so a term counts once). All words of all lines are counted, so the length of a part's
 vector is that of its real words, and scores depend on shares of lines, not on the size of the corpus.
 
-Parts are single lines, whole texts, and runs of as many words as a template has, so headers are found however
-their lines are wrapped, and notices within longer lines. Templates of fewer than ``TITLE_WORDS`` words are titles,
+Parts are single lines, whole texts of which a template can be half, and runs of as many words as a template has from each of its words on, so headers
+are found however their lines are wrapped, and notices within longer lines. A word counts once in each part: in those
+that begin after the place it last stood at. So it adds its weight where these parts begin and takes it away where they end, and running
+sums give the scores of all runs of a text in one pass. Weights are whole numbers, so sums don't depend on their order. Templates of fewer than ``TITLE_WORDS`` words are titles,
 which only whole lines match. An SPDX tag holds if its line has the tag and the name, so all names of an expression do.
 
 A part as similar as asked lacks less than 1 - ``threshold`` squared of a template's squared length. So of the
 template's rarest words it has at least a known weight; texts without that are out, with no loss, before any part
-is looked at. Only the others are joined with the counts.
+is looked at. Weights of words that no template has are sought only for texts with a part that holds enough of a template.
 
 A file's own licenses are those of its matching lines. A file is a licence file if it has a usual name, or if
 it has at least ``LICENCE_SIZE`` characters and more than half of its lines match; its directory then has its licenses. A file without a licence of its own
@@ -19,20 +21,22 @@ All of it is DataFrame functions.
 
 Defined cases: NULL or blank texts have no lines and no licence of their own. Repeated rows are one file for
 each path. A NULL path has no directory and inherits nothing. Equal scores go to the smallest license
-name. An empty template table matches nothing. Other columns are not read. Templates are at most
-``MOST_TEMPLATES`` rows of at most ``MOST_WORDS`` distinct words together, as they become literals; more raise
-``ValueError``.
+name. An empty template table matches nothing. Other columns are not read. Templates are taken in blocks of
+``BLOCK_TEMPLATES`` rows or ``BLOCK_WORDS`` words, as they become literals; each block is one more pass over the texts.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-MOST_TEMPLATES = 200
-MOST_WORDS = 5_000
+BLOCK_TEMPLATES = 200
+BLOCK_WORDS = 20_000
+FREQUENT = 50_000  # words whose counts are broadcast; those of others are joined by a shuffle
+_UNIT = 1 << 30  # of squared weights
 
 # Usual one-line notices of public licenses.
 NOTICES = (
@@ -96,17 +100,15 @@ TITLES = (
 )
 TAG = "spdx-license-identifier"
 TITLE_WORDS = 5  # shorter templates are titles, which only a whole line can be
-LONG_WORDS = 400
 LICENCE_SIZE = 200
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([-._][^/]*)?$"
 
-_WORD_GAP = r"[^0-9a-z+.-]+"
+_WORD_GAP = r"[^0-9a-z+.-]+|\.(?![0-9a-z])"
 
 
 def _words(text: Column) -> Column:
     """Words in their order, without the dots that end sentences."""
-    words = F.split(F.regexp_replace(F.lower(text), r"\.+(?![0-9a-z])", " "), _WORD_GAP)
-    return F.array_remove(words, "")
+    return F.array_remove(F.split(F.lower(text), _WORD_GAP), "")
 
 
 def _terms(text: Column) -> Column:
@@ -135,23 +137,19 @@ def scan(
     spark = files.sparkSession
     known = templates.where("license is not null").select("license", _words(F.coalesce("text", F.lit(""))).alias("words"))
     known = known.select("license", F.array_distinct("words").alias("terms"), F.size("words").alias("n")).where("size(terms) > 0")
-    rows = known.distinct().orderBy("license", "terms", "n").limit(MOST_TEMPLATES + 1).collect()
-    vocabulary = sorted({t for r in rows for t in r["terms"]})
-    if len(rows) > MOST_TEMPLATES or len(vocabulary) > MOST_WORDS:
-        raise ValueError("too many templates")
-
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda s: s.rlike(r"\S"))
     # in how many lines each word is; the empty one is in all
     terms = files.select(F.explode(lines).alias("content")).select(F.explode(F.array_append(_terms(F.col("content")), F.lit(""))).alias("term"))
     terms.groupBy("term").agg(F.count("*").alias("df")).write.parquet(f"{scratch}/counts")
     counts = spark.read.parquet(f"{scratch}/counts")
-    df = {r["term"]: r["df"] for r in counts.where(F.col("term").isin(["", *vocabulary])).collect()}
-    total = df.get("", 0)
-    weight = {t: math.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
-
-    rare = F.log((1 + F.lit(total)) / (1 + F.col("df"))) + 1
-    matched = _matched(files.select(F.col(path).cast("string").alias("path"), whole.alias("text"), lines.alias("lines")), rows, weight, counts.select("term", (rare * rare).alias("w")), scratch, threshold)
+    total = (counts.where("term = ''").first() or {"df": 0})["df"]
+    named = files.select(F.col(path).cast("string").alias("path"), whole.alias("text"), lines.alias("lines"))
+    parts = None
+    for i, block in enumerate(_blocks(known.distinct().orderBy("license", "terms", "n").toLocalIterator())):
+        found = _scored(named, block, counts, total, f"{scratch}/{i}", threshold)
+        parts = found if parts is None else parts.unionAll(found)
+    matched = _best(spark.createDataFrame([], _SCORED) if parts is None else parts)
     matched.write.parquet(f"{scratch}/matched")
     matched = spark.read.parquet(f"{scratch}/matched")
     totals = files.select(F.col(path).cast("string").alias("path"), F.size(lines).alias("lines"), F.length(whole).alias("size")).groupBy("path").agg(
@@ -198,83 +196,146 @@ def _parent(path: Column) -> Column:
     return F.when(F.instr(path, "/") > 0, F.regexp_replace(path, "/[^/]*$", "")).when(path.isNotNull(), F.lit(""))
 
 
-def _matched(files: DataFrame, rows: list, weight: dict[str, float], counts: DataFrame, scratch: str, threshold: float) -> DataFrame:
-    """(path, line, license, score): for each line the best of the templates that reach the threshold in a part with
-    this line, and all SPDX tags. A line's best is what holds most of a template, but a whole text yields to its parts.
-    Squared weights are added in the order of the words, so equal parts have equal scores."""
+def _blocks(rows: Iterator) -> Iterator[list]:
+    block, words = [], 0
+    for r in rows:
+        if block and (len(block) == BLOCK_TEMPLATES or words + len(r["terms"]) > BLOCK_WORDS):
+            yield block
+            block, words = [], 0
+        block.append(r)
+        words += len(r["terms"])
+    if block:
+        yield block
+
+
+def _weights(words: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+    """``words`` with the squared weight ``w`` of their ``term``. Each word of a text is counted."""
+    rare = F.log((1 + F.lit(total)) / (1 + F.col("df"))) + 1
+    squares = counts.select("term", F.round(rare * rare * _UNIT).cast("bigint").alias("w"), "df")
+    frequent = squares.orderBy(F.desc("df"), "term").limit(FREQUENT).select("term", F.col("w").alias("often"))
+    some = words.join(F.broadcast(frequent), "term", "left")
+    # frequent words have keys of their own, which no word equals
+    key = F.when(F.col("often").isNull(), F.col("term")).otherwise(F.concat_ws(" ", F.lit(""), "row", "at"))
+    some = some.withColumn("key", key).join(squares.select(F.col("term").alias("key"), F.col("w").alias("seldom")), "key", "left")
+    return some.withColumn("w", F.coalesce("often", "seldom")).drop("key", "often", "seldom")
+
+
+def _running(words: DataFrame, starts: DataFrame) -> DataFrame:
+    """(row, template, start, line, sum): for each of ``starts`` (row, template, start, line) the weights of the distinct
+    words of the run of ``m`` words from there. ``words`` has row, template, m, at, before (where the same word last
+    was, or -1) and w: one counts in the runs that begin after ``before`` and up to ``at``."""
+    c, no = F.col, F.lit(None).cast("int")
+    event = lambda at, w, line: F.struct(at.cast("int").alias("start"), w.alias("w"), line.alias("line"))
+    change = F.array(event(F.greatest(c("before"), c("at") - c("m")) + 1, c("w"), no), event(c("at") + 1, -c("w"), no))
+    events = words.select("row", "template", F.inline(change))
+    asked = starts.select("row", "template", "start", F.lit(0).cast("bigint").alias("w"), "line")
+    so_far = Window.partitionBy("row", "template").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    return events.unionByName(asked).withColumn("sum", F.sum("w").over(so_far)).where("line is not null").drop("w")
+
+
+_SCORED = "path string, digest string, license string, score double, tag boolean, whole boolean, held double, from int, to int, middle int"
+
+
+def _scored(files: DataFrame, block: list, counts: DataFrame, total: int, scratch: str, threshold: float) -> DataFrame:
+    """The parts that reach the threshold with a template of the block, with their first, last and middle lines."""
     spark = files.sparkSession
-    square = {t: w * w for t, w in weight.items()}
-    known = [(i, r["license"], r["terms"], r["n"], math.fsum(square[t] for t in sorted(r["terms"]))) for i, r in enumerate(rows)]
+    c = F.col
+
+    def kept(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.parquet(f"{scratch}/{name}")
+        return spark.read.parquet(f"{scratch}/{name}")
+
+    holders: dict[str, list[int]] = {}
+    for i, r in enumerate(block):
+        for t in r["terms"]:
+            holders.setdefault(t, []).append(i)
+    df = {r["term"]: r["df"] for r in counts.where(c("term").isin(sorted(holders))).collect()}
+    square = {t: round((math.log((1 + total) / (1 + df.get(t, 0))) + 1) ** 2 * _UNIT) for t in holders}
     least = threshold * threshold * (1 - 1e-9)  # by a margin for rounding
     # a match holds most of a template, so of its rarest words at least what it may not lack
     rarest, bounds = [], []
-    for i, license, terms, n, size in known:
-        part, sought = 0.0, (1 - least) * size + least * size / 2
-        for t in sorted(terms, key=lambda t: (-weight[t], t)):
+    for i, r in enumerate(block):
+        size, part = sum(square[t] for t in r["terms"]), 0
+        sought = (1 - least) * size + least * size / 2
+        for t in sorted(r["terms"], key=lambda t: (-square[t], t)):
             if part >= sought:
                 break
             rarest.append((i, t, square[t]))
             part += square[t]
-        bounds.append((i, license, terms, n, size, (part - (1 - least) * size) * (1 - 1e-9)))
-    templates = spark.createDataFrame(bounds, "template int, license string, terms array<string>, m int, size double, need double")
-    held = spark.createDataFrame(rarest, "template int, term string, w double")
-    anchors = {t for _, t, _ in rarest}
-    shared = F.filter("terms", lambda t: t.isin(sorted(anchors)) if anchors else F.lit(False))
-    some = files.withColumn("terms", _terms(F.col("text"))).where(F.size(shared) > 0)
-    some.select(F.monotonically_increasing_id().alias("row"), "path", "lines", shared.alias("terms")).write.parquet(f"{scratch}/some")
-    some = spark.read.parquet(f"{scratch}/some")
+        tag = r["terms"][0] == TAG
+        bounds.append((i, r["license"], r["n"], size, tag, tag or r["n"] < TITLE_WORDS, (part - (1 - least) * size) * (1 - 1e-9)))
+    templates = F.broadcast(spark.createDataFrame(bounds, "template int, license string, m int, size long, tag boolean, short boolean, need double"))
+    held = F.broadcast(spark.createDataFrame(rarest, "template int, term string, w long"))
+    terms = F.broadcast(spark.createDataFrame([(t, i, square[t]) for t, i in holders.items()], "term string, holders array<int>, w long"))
+
+    anchors = sorted({t for _, t, _ in rarest})
+    some = files.withColumn("terms", F.array_distinct(F.filter(_words(c("text")), lambda t: t.isin(anchors)))).where(F.size("terms") > 0)
+    digest = F.sha2(F.concat_ws("\n", "path", "text"), 256)
+    some = kept(some.select(F.monotonically_increasing_id().alias("row"), "path", digest.alias("digest"), "lines", "terms"), "some")
     pairs = some.select("row", F.explode("terms").alias("term")).join(held, "term").groupBy("row", "template").agg(F.sum("w").alias("w"))
-    pairs = pairs.join(templates, "template").where(F.col("w") >= F.col("need")).drop("w", "need")
-    pairs.write.parquet(f"{scratch}/pairs")
-    pairs = spark.read.parquet(f"{scratch}/pairs")
+    pairs = pairs.join(templates, "template").where(c("w") >= c("need")).groupBy("row").agg(F.collect_list("template").alias("templates"))
 
-    # the words of these texts with their weights, and where each was before
+    # the words of these texts, where each was before, and the templates that have it
     placed = F.flatten(F.transform("lines", lambda s, i: F.transform(_words(s), lambda w: F.struct(i.alias("line"), w.alias("term")))))
-    words = some.join(pairs.select("row").distinct(), "row", "left_semi").select("row", F.posexplode(placed).alias("at", "o"))
-    words = words.select("row", "at", "o.line", "o.term").join(counts, "term")
-    words = words.withColumn("before", F.coalesce(F.lag("at").over(Window.partitionBy("row", "term").orderBy("at")), F.lit(-1)))
-    texts = words.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "line", "term", "w", "before"))).alias("words"))
-    both = pairs.join(texts, "row").withColumn(
-        "words", F.transform("words", lambda x: x.withField("shared", F.when(F.array_contains("terms", x["term"]), x["w"]).otherwise(0.0)))
-    )
-    c = F.col
-    scored = both.select("row", "license", "size", "words", (c("terms")[0] == TAG).alias("tag"), F.explode(_parts()).alias("part")).select(
-        "row", "license", "size", "tag", "part", F.slice("words", c("part.start") + 1, c("part.n")).alias("words")
-    )
-    # a word counts where the part has it first
-    add = lambda field: F.aggregate("words", F.lit(0.0), lambda s, x: s + F.when(x["before"] < c("part.start"), x[field]).otherwise(0.0))
-    scored = scored.withColumn("dot", add("shared")).where(c("dot") >= F.lit(least) * c("size"))
-    # what else stands in the line of a tag doesn't matter
-    score = F.when(c("tag"), F.when(c("dot") >= c("size") * (1 - 1e-9), 1.0).otherwise(0.0)).otherwise(c("dot") / F.sqrt(add("w") * c("size")))
-    scored = scored.withColumn("score", F.round(score, 6)).where(c("score") >= threshold).select(
-        "row", "license", "score", "tag", "part.whole", F.round(c("dot") * c("score") * c("score"), 6).alias("held"),
-        c("words")[0]["line"].alias("from"), F.element_at("words", -1)["line"].alias("to"),
-        c("words")[F.floor((F.size("words") - 1) / 2).cast("int")]["line"].alias("middle"),
+    words = some.join(pairs, "row").select("row", "templates", F.posexplode(placed).alias("at", "o")).select("row", "templates", "at", "o.line", "o.term")
+    last = F.lag(F.struct("at", "line")).over(Window.partitionBy("row", "term").orderBy("at"))
+    words = words.withColumn("last", last).join(terms, "term", "left").select(
+        "row", "at", "line", "term", "w", F.coalesce("last.at", F.lit(-1)).alias("before"), (F.coalesce("last.line", F.lit(-1)) < c("line")).alias("fresh"),
+        F.array_intersect("templates", F.coalesce("holders", F.array().cast("array<int>"))).alias("hits"),
     )
-    scored.write.parquet(f"{scratch}/scored")
-    scored = spark.read.parquet(f"{scratch}/scored")
-    lines = scored.withColumn("line", F.explode(F.sequence("from", "to")))
-    order = F.struct("whole", (-c("held")).alias("held"), (-c("score")).alias("score"), "license")
-    best = lines.where("not tag").groupBy("row", "line").agg(F.min(order).alias("o"))
-    best = best.select("row", "line", "o.license", (-c("o.score")).alias("score"))
-    # a part that only reaches over the edge of a better one is none: its license must be the best in its middle
-    middles = lines.where("not tag and line = middle").select("row", "line", "license").distinct()
-    sure = best.join(middles, ["row", "line", "license"], "left_semi").select("row", "license").distinct()
-    best = best.join(sure, ["row", "license"], "left_semi").select("row", "line", "license", "score")
-    tags = lines.where("tag").select("row", "line", "license", "score").distinct()
-    return best.union(tags).distinct().join(some.select("row", "path"), "row").select("path", "line", "license", "score")
+    words = kept(words, "words")
 
+    # parts that hold enough of a template
+    shared = words.select("row", F.explode("hits").alias("template"), "at", "line", "w", "before", "fresh").join(templates, "template")
+    enough = lambda parts: parts.join(templates, "template").where(c("dot") >= F.lit(least) * c("size"))
+    lines = shared.where("fresh").groupBy("row", "template", "line").agg(F.sum("w").alias("dot")).withColumn("start", F.lit(None).cast("int"))
+    whole = shared.where("before < 0 and not short").groupBy("row", "template").agg(F.sum("w").alias("dot"))
+    whole = whole.withColumns({"start": F.lit(0), "line": F.lit(None).cast("int")})
+    long = shared.where("not short")
+    runs = _running(long, long.withColumn("start", c("at"))).withColumnRenamed("sum", "dot")
+    parts = [enough(p).withColumn("kind", F.lit(k)) for k, p in (("line", lines), ("whole", whole), ("run", runs))]
+    parts = kept(parts[0].unionByName(parts[1]).unionByName(parts[2]).select("row", "template", "license", "m", "size", "tag", "kind", "start", "line", "dot"), "parts")
 
-def _parts() -> Column:
-    """Parts of a text that are compared with a template of ``m`` words, as first word and number of words: each
-    line, the whole text if it is at most twice as long, and as many words as the template has, from each of its words on (of a long one: from each
-    line that begins with its first word)."""
-    c = F.col
-    new = lambda x, i: (i == 0) | (F.try_element_at("words", i)["line"] < x["line"])
-    part = lambda start, n, whole=False: F.struct(start.alias("start"), n.alias("n"), F.lit(whole).alias("whole"))
-    begin = F.transform(F.filter("words", new), lambda x: x["at"])
-    lines = F.transform(begin, lambda s, i: part(s, F.coalesce(F.try_element_at(begin, i + 2), F.size("words")) - s))
-    own = lambda x, i: F.when(c("m") <= LONG_WORDS, x["shared"] > 0).otherwise(new(x, i) & (x["term"] == c("terms")[0]))
-    runs = F.transform(F.filter("words", own), lambda x: part(x["at"], F.least(c("m"), F.size("words") - x["at"])))
-    short = (c("m") < TITLE_WORDS) | (c("terms")[0] == TAG)
-    return F.when(short, lines).otherwise(F.concat(lines, runs, F.filter(F.array(part(F.lit(0), F.size("words"), True)), lambda x: x["n"] <= 2 * c("m"))))
+    # the lengths of these parts
+    words = kept(_weights(words.drop("w", "hits").join(parts.where("not tag").select("row").distinct(), "row", "left_semi"), counts, total), "weights")
+    lines = parts.where("kind = 'line'").join(words.where("fresh").groupBy("row", "line").agg(F.sum("w").alias("sum")), ["row", "line"], "left")
+    of_text = words.groupBy("row").agg(F.sum(F.when(c("before") < 0, c("w"))).alias("sum"), F.count("*").cast("int").alias("n"))
+    whole = parts.where("kind = 'whole'").join(of_text, "row").where("n <= 2 * m").drop("m").withColumnRenamed("n", "m")
+    runs = parts.where("kind = 'run'")
+    spans = runs.groupBy("row", "template", "m").agg(F.min("start").alias("low"), F.max("start").alias("high"))
+    near = words.join(spans, "row").where((c("at") >= c("low")) & (c("at") < c("high") + c("m")))
+    lengths = _running(near, runs).drop("line")
+    runs = runs.join(lengths, ["row", "template", "start"]).join(of_text.select("row", "n"), "row")
+    runs = runs.withColumn("m", F.least(c("m"), c("n") - c("start"))).drop("n")
+    # what else stands in the line of a tag doesn't matter
+    cosine = c("dot") / F.sqrt(c("sum").cast("double") * c("size"))
+    score = F.round(F.when(c("tag"), F.when(c("dot") >= c("size") * (1 - 1e-9), 1.0).otherwise(0.0)).otherwise(cosine), 6)
+    scored = lines.unionByName(whole).unionByName(runs).withColumn("score", score).where(c("score") >= threshold)
+    scored = kept(scored.withColumn("held", F.round(c("dot") * c("score") * c("score") / _UNIT, 6)), "reached")
+    # lines of the first, middle and last words of parts of several lines
+    several = scored.where("kind != 'line'")
+    places = F.array(c("start"), c("start") + F.floor((c("m") - 1) / 2).cast("int"), c("start") + c("m") - 1)
+    places = several.select("row", "template", "kind", "start", F.posexplode(places).alias("which", "at"))
+    at = places.join(words.select("row", "at", c("line").alias("l")), ["row", "at"]).groupBy("row", "template", "kind", "start")
+    at = at.agg(F.min("l").alias("from"), F.max("l").alias("to"), F.max(F.when(c("which") == 1, c("l"))).alias("middle"))
+    several = several.join(at, ["row", "template", "kind", "start"])
+    alone = scored.where("kind = 'line'").withColumns({x: c("line") for x in ("from", "to", "middle")})
+    out = alone.unionByName(several).withColumn("whole", c("kind") == "whole").join(some.select("row", "path", "digest"), "row")
+    return kept(out.select(*(x.split()[0] for x in _SCORED.split(", "))), "scored")
+
+
+def _best(scored: DataFrame) -> DataFrame:
+    """(path, line, license, score): for each line the best of the templates that reach the threshold in a part with
+    this line, and all SPDX tags. A line's best is what holds most of a template, but a whole text yields to its parts."""
+    file = ["path", "digest"]
+    scored = scored.where("path is not null")  # a NULL path has no own licences
+    lines = scored.withColumn("line", F.explode(F.sequence("from", "to")))
+    order = F.struct("whole", (-F.col("held")).alias("held"), (-F.col("score")).alias("score"), "license")
+    best = lines.where("not tag").groupBy(*file, "line").agg(F.min(order).alias("o"))
+    best = best.select(*file, "line", "o.license", (-F.col("o.score")).alias("score"))
+    # a part that only reaches over the edge of a better one is none: its license must be the best in its middle
+    middles = lines.where("not tag and line = middle").select(*file, "line", "license").distinct()
+    sure = best.join(middles, [*file, "line", "license"], "left_semi").select(*file, "license").distinct()
+    best = best.join(sure, [*file, "license"], "left_semi").select("path", "line", "license", "score")
+    tags = lines.where("tag").select("path", "line", "license", "score")
+    return best.union(tags).distinct()
