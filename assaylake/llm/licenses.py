@@ -103,12 +103,12 @@ TITLE_WORDS = 5  # shorter templates are titles, which only a whole line can be
 LICENCE_SIZE = 200
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([-._][^/]*)?$"
 
-_WORD_GAP = r"[^0-9a-z+.-]+|\.(?![0-9a-z])"
+_WORD_GAP = r"[^0-9a-z+.-]+"
 
 
 def _words(text: Column) -> Column:
-    """Words in their order, without the dots that end sentences."""
-    return F.array_remove(F.split(F.lower(text), _WORD_GAP), "")
+    """Words in their order, without the dots that end them."""
+    return F.array_remove(F.transform(F.split(F.lower(text), _WORD_GAP), lambda w: F.rtrim(w, F.lit("."))), "")
 
 
 def _terms(text: Column) -> Column:
