@@ -7,7 +7,7 @@ places of those largest values, so training costs little more than the forward p
 
 All labelled rows teach. A hash of the id deals them into two folds; each fold trains a network of its own, and
 a score is taken from the mean of both logits. Labelled rows are written once, in shards of about
-``SHARD_BYTES`` of text. In each epoch every shard continues from the networks of the epoch before, in one task,
+``SHARD_BYTES`` of text, as the features that all epochs read. In each epoch every shard continues from the networks of the epoch before, in one task,
 and what the shards of a fold have learned is averaged; a row of the embedding only over the shards that moved it.
 Every labelled row also sets the cuts: the network of the other fold scores it. The logits of each network are
 shifted so that 0.5 is its best cut over all rows of the other fold, and a threshold for each language is
@@ -41,12 +41,16 @@ STEMS = (4, 5, 6, 8)
 BATCH = 32
 SHARD_BYTES = 8 << 20
 
+_BLOCK = 8  # words whose windows are multiplied at once
 _GAP = max(WIDTHS)
-_NARROW, _ALL = FILTERS * (len(WIDTHS) - 1), FILTERS * len(WIDTHS)
+_AT_ONCE = 400  # gaps; a run's outputs stay in the processor's cache
+_ALL = FILTERS * len(WIDTHS)
 _SHAPES = [*((w, DEPTH, FILTERS) for w in WIDTHS), (_ALL,), (_ALL,), (1,)]
 _PIECE = 1 << 19
+_SHARDS_PER_TASK = 3
 _BLOCKS = 16  # parts in which embeddings travel to be averaged
 _BINS = 64
+_LOWER, _IN_WORD = arrays.LOWER.tobytes(), WORD_BYTE.tobytes()
 
 
 @dataclass
@@ -70,13 +74,20 @@ class Model:
 def features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bucket numbers of each distinct word (the word and its stems), the distinct word of each word, and
     the number of each text's first word."""
-    low = arrays.LOWER[buf]
-    starts, ends, first = arrays.runs(WORD_BYTE[low], offsets)
-    whole, at, words = np.unique(arrays.span_hashes(low, starts, ends), return_index=True, return_inverse=True)
+    low = np.frombuffer(buf.tobytes().translate(_LOWER), np.uint8)
+    starts, ends, first = arrays.runs(np.frombuffer(low.tobytes().translate(_IN_WORD), bool), offsets)
+    found = pa.array(arrays.span_hashes(low, starts, ends)).dictionary_encode()
+    whole, words = found.dictionary.to_numpy(), found.indices.to_numpy()
+    order = np.argsort(whole)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order))
+    whole, words = whole[order], rank.take(words)
+    at = np.empty(len(whole), np.int64)
+    at[words[::-1]] = np.arange(len(words))[::-1]
     starts, ends = starts[at], ends[at]
     hashes = [whole]
     hashes += [arrays.mix(arrays.span_hashes(low, starts, np.minimum(ends, starts + n)) + np.uint64(n)) for n in STEMS]
-    return (np.stack(hashes, axis=1) % np.uint64(BUCKETS)).astype(np.int64), words, first
+    return (np.stack(hashes) % np.uint64(BUCKETS)).astype(np.uint16).T, words, first
 
 
 def _views(dense: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
@@ -88,51 +99,74 @@ def _views(dense: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray,
 
 
 def _vectors(embedding: np.ndarray, forms: np.ndarray) -> np.ndarray:
-    out = embedding[forms[:, 0]]
-    for j in range(1, forms.shape[1]):
-        out += embedding[forms[:, j]]
+    """Vectors of all forms, and a last one of zeros."""
+    out = np.zeros((len(forms) + 1, DEPTH), np.float32)
+    for column in forms.T:
+        out[:-1] += embedding.take(column, axis=0)
     return out
 
 
-def _laid(vectors: np.ndarray, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Vectors of all words with zeros after each text, where each text starts, its words, and each word's place."""
+def _laid(words: np.ndarray, first: np.ndarray, blank: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words with ``blank`` after each text, where each text starts, and for each text its first block and the end of
+    its blocks. Their windows start at a word or see none, and one of them sees none."""
     counts = np.diff(first)
     at = np.concatenate([[0], np.cumsum(counts + _GAP)])
-    place = arrays.ragged(at[:-1], counts)
-    x = np.zeros((-(-(at[-1] + 1) // _GAP) * _GAP + _GAP, DEPTH), np.float32)
-    x[place] = vectors[words]
-    return x, at[:-1], counts, place
-
-
-def _convolve(x: np.ndarray, filters: list[np.ndarray]) -> list[np.ndarray]:
-    """Outputs of the narrow filters side by side, and of the widest. Blocks of words meet a band matrix: a window
-    lies in one block and the next."""
-    narrow = np.zeros((WIDTHS[-2], DEPTH, _NARROW), np.float32)
-    for k, w in enumerate(WIDTHS[:-1]):
-        narrow[:w, :, k * FILTERS : (k + 1) * FILTERS] = filters[k]
-    outs = []
-    for weights in (narrow, filters[-1]):
-        block, _, n = weights.shape
-        band = np.zeros((2 * block, DEPTH, block, n), np.float32)
-        for p in range(block):
-            band[p : p + block, :, p] = weights
-        here, after = band.reshape(2, block * DEPTH, block * n)
-        rows = x.reshape(-1, block * DEPTH)
-        out = rows[:-1] @ here
-        out += rows[1:] @ after
-        outs.append(out.reshape(-1, n))
-    return outs
+    spots = np.full(-(-(at[-1] + 1) // _GAP) * _GAP + _GAP, blank, np.int32)
+    spots[arrays.ragged(at[:-1], counts)] = words
+    return spots, at[:-1], np.stack([at[:-1] // _BLOCK, (at[:-1] + counts) // _BLOCK + 1], axis=1)
+
+
+def _bands(filters: list[np.ndarray]) -> list[np.ndarray]:
+    """For each width a matrix that takes the words which windows of one block see to (place in block, filter)."""
+    bands = []
+    for w, weights in zip(WIDTHS, filters, strict=True):
+        band = np.zeros((_BLOCK, FILTERS, _BLOCK + w - 1, DEPTH), np.float32)
+        for p in range(_BLOCK):
+            band[p, :, p : p + w] = weights.transpose(2, 0, 1)
+        bands.append(band.reshape(_BLOCK * FILTERS, -1))
+    return bands
+
+
+def _convolve(x: np.ndarray, filters: list[np.ndarray], at: np.ndarray, most: int) -> Iterator[tuple[slice, np.ndarray]]:
+    """Outputs by (place in block, filter, block) for runs of blocks; the least for windows that start before a text and
+    see its words. A window's products are added up to the next multiple of its ``turn``, and then beyond it."""
+    bands = _bands(filters)
+    for a in range(0, len(x) // _GAP - 1, most):
+        b = min(a + most, len(x) // _GAP - 1)
+        run = slice(a * _GAP // _BLOCK, b * _GAP // _BLOCK)
+        outs = np.empty((_BLOCK, _ALL, run.stop - run.start), np.float32)
+        for k, (w, band) in enumerate(zip(WIDTHS, bands, strict=True)):
+            turn = _GAP if w == _GAP else _BLOCK
+            rows = x[a * _GAP : b * _GAP + turn].reshape(-1, turn * DEPTH)
+            for c in range(turn // _BLOCK):
+                cut = (turn - c * _BLOCK) * DEPTH
+                out = band[:, :cut] @ rows[:-1, c * _BLOCK * DEPTH :].T
+                if band.shape[1] > cut:
+                    out += band[:, cut:] @ rows[1:, : band.shape[1] - cut].T
+                outs[:, k * FILTERS : (k + 1) * FILTERS, c :: turn // _BLOCK] = out.reshape(_BLOCK, FILTERS, -1)
+            early = (at[1:, None] - np.arange(w - 1, 0, -1)).ravel()
+            early = early[slice(*np.searchsorted(early, (a * _GAP, b * _GAP)))] - a * _GAP
+            outs[early % _BLOCK, k * FILTERS : (k + 1) * FILTERS, early // _BLOCK] = -np.inf
+        yield run, outs
 
 
 def logits(net: Net, forms: np.ndarray, words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return _logits([net], forms, words, first)[0]
+
+
+def _logits(nets: list[Net], forms: np.ndarray, words: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     if len(first) == 1:
-        return np.zeros(0)
-    filters, biases, output, bias = _views(net.dense)
-    x, at, counts, _ = _laid(_vectors(net.embedding, forms), words, first)
-    # windows that start at a word, and one without words
-    edges = np.stack([at, at + counts + 1], axis=1).ravel()
-    top = np.concatenate([np.maximum.reduceat(out, edges, axis=0)[::2] for out in _convolve(x, filters)], axis=1) + biases
-    return (np.maximum(top, 0) @ output + bias[0]).astype(np.float64)
+        return [np.zeros(0) for _ in nets]
+    spots, at, blocks = _laid(words, first, len(forms))
+    found = []
+    for net in nets:
+        filters, biases, output, bias = _views(net.dense)
+        best = np.empty((_ALL, (len(spots) - _GAP) // _BLOCK), np.float32)
+        for run, outs in _convolve(_vectors(net.embedding, forms).take(spots, axis=0), filters, at, _AT_ONCE):
+            outs.max(axis=0, out=best[:, run])
+        top = np.ascontiguousarray(np.maximum.reduceat(best, blocks.ravel(), axis=1)[:, ::2].T) + biases
+        found.append((np.maximum(top, 0) @ output + bias[0]).astype(np.float64))
+    return found
 
 
 def _new_net(seed: int) -> Net:
@@ -150,23 +184,31 @@ def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Sums of the rows of each key."""
     if not len(keys):
         return keys, values
+    if keys.max() < 1 << 16:
+        keys = keys.astype(np.uint16)  # sorted by digits
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys[starts], np.add.reduceat(values[order], starts, axis=0)
+    return keys[starts], np.add.reduceat(values.take(order, axis=0), starts, axis=0)
 
 
 def _learn(net: Net, forms: np.ndarray, words: np.ndarray, first: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> None:
     """One step of ``net`` on one batch of texts."""
     filters, biases, output, bias = _views(net.dense)
-    vectors = np.zeros((len(forms), DEPTH), np.float32)
-    used = np.flatnonzero(np.bincount(words, minlength=len(forms)))
-    vectors[used] = _vectors(net.embedding, forms[used])
-    x, at, counts, place = _laid(vectors, words, first)
-    outs = _convolve(x, filters)
-    where = [np.stack([a + out[a : a + n + 1].argmax(axis=0) for a, n in zip(at, counts, strict=True)]) for out in outs]
-    top = np.concatenate([out[at_, np.arange(out.shape[1])] for out, at_ in zip(outs, where, strict=True)], axis=1) + biases
-    where = np.concatenate(where, axis=1)
+    local = np.zeros(len(forms), np.int32)
+    local[words] = 1
+    used = np.flatnonzero(local)
+    local[used] = np.arange(len(used))
+    forms = forms.T.take(used, axis=1).T
+    spots, at, blocks = _laid(local.take(words), first, len(used))
+    x = _vectors(net.embedding, forms).take(spots, axis=0)
+    ((_, outs),) = _convolve(x, filters, at, len(spots))
+    # the first of the largest outputs, by its block and its place in it
+    best = outs.max(axis=0)
+    block = np.stack([a + best[:, a:b].argmax(axis=1) for a, b in blocks])
+    place = outs[:, np.arange(_ALL), block].argmax(axis=0)
+    where = block * _BLOCK + place
+    top = best[np.arange(_ALL), block] + biases
     hidden = np.maximum(top, 0)
     score = 1 / (1 + np.exp(-np.clip(hidden @ output + bias[0], -30, 30)))
     error = ((score - labels) * weight / len(labels)).astype(np.float32)
@@ -176,28 +218,26 @@ def _learn(net: Net, forms: np.ndarray, words: np.ndarray, first: np.ndarray, la
     d_biases += back.sum(axis=0)
     d_output += hidden.T @ error + 1e-4 * output
     d_bias += error.sum()
-    spots, pushes = [], []
+    hit, pushes = [], []
     for k, w in enumerate(WIDTHS):
         t, f = np.nonzero(back[:, k * FILTERS : (k + 1) * FILTERS])
         g = back[t, k * FILTERS + f]
         window = where[t, k * FILTERS + f][:, None] + np.arange(w)
         chosen = np.zeros((FILTERS, len(g)), np.float32)
         chosen[f, np.arange(len(g))] = g
-        d_filters[k] += (chosen @ x[window].reshape(len(g), w * DEPTH)).reshape(FILTERS, w, DEPTH).transpose(1, 2, 0)
-        spots.append(window.ravel())
-        pushes.append((g[:, None, None] * filters[k].transpose(2, 0, 1)[f]).reshape(-1, DEPTH))
-    form = np.full(len(x), -1)
-    form[place] = words
-    spots, pushes = form[np.concatenate(spots)], np.concatenate(pushes)
-    hit, pushes = _summed(spots[spots >= 0], pushes[spots >= 0])
+        d_filters[k] += (chosen @ x.take(window, axis=0).reshape(len(g), w * DEPTH)).reshape(FILTERS, w, DEPTH).transpose(1, 2, 0)
+        hit.append(spots.take(window.ravel()))
+        pushes.append((g[:, None] * filters[k].transpose(2, 0, 1).reshape(FILTERS, -1).take(f, axis=0)).reshape(-1, DEPTH))
+    hit, pushes = np.concatenate(hit), np.concatenate(pushes)
+    hit, pushes = _summed(hit[hit < len(used)], pushes[hit < len(used)])
     # Adam for what all texts share, Adagrad for the words that gradients reached
     net.step += 1
     net.mean += 0.1 * (gradient - net.mean)
     net.square += 0.001 * (gradient * gradient - net.square)
     net.dense -= 0.01 * (net.mean / (1 - 0.9**net.step)) / (np.sqrt(net.square / (1 - 0.999**net.step)) + 1e-8)
-    rows, total = _summed(forms[hit].ravel(), np.repeat(pushes, forms.shape[1], axis=0))
+    rows, total = _summed(forms.take(hit, axis=0).ravel(), np.repeat(pushes, forms.shape[1], axis=0))
     net.squares[rows] += (total * total).mean(axis=1)
-    net.embedding[rows] -= 0.05 * total / np.sqrt(net.squares[rows])[:, None]
+    net.embedding[rows] = net.embedding.take(rows, axis=0) - 0.05 * total / np.sqrt(net.squares[rows])[:, None]
 
 
 class _Sum:
@@ -220,9 +260,42 @@ class _Sum:
         return [*(p.astype(np.float32).tobytes() for p in np.split(self.moved, _BLOCKS)), (np.append(self.shared, self.rows)).astype(np.float32).tobytes()]
 
 
+_RUN = "fold int, shard int, y binary, langs array<string>, forms binary, words binary, counts binary"
 _PART = "fold int, part int, shard int, content binary"
 
 
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Labelled rows in order of their shards as runs of texts, none over two shards, with the features in place of the
+    texts, so that all epochs share them."""
+    for batch in batches:
+        shards = batch.column("shard").to_numpy()
+        for part in np.split(np.arange(len(shards)), np.flatnonzero(shards[1:] != shards[:-1]) + 1) if len(shards) else []:
+            for rows, buf, offsets in arrays.pieces(batch.slice(part[0], len(part)), "text", _PIECE):
+                forms, words, first = features(buf, offsets)
+                yield pa.RecordBatch.from_pydict({
+                    "fold": rows.column("fold").slice(0, 1), "shard": rows.column("shard").slice(0, 1),
+                    "y": pa.array([rows.column("y").to_numpy().astype(np.uint8).tobytes()], pa.binary()),
+                    "langs": pa.array([rows.column("lang").to_pylist()], pa.list_(pa.string())),
+                    "forms": pa.array([forms.T.tobytes()], pa.binary()),
+                    "words": pa.array([words.astype(_number(len(forms))).tobytes()], pa.binary()),
+                    "counts": pa.array([np.diff(first).tobytes()], pa.binary()),
+                })
+
+
+def _number(below: int) -> type:
+    return np.uint16 if below <= 1 << 16 else np.uint32
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray, tuple]]:
+    """For each run its fold, its row, its labels and its features."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            read = lambda name, kind: np.frombuffer(batch.column(name)[i].as_buffer(), kind)  # noqa: B023, E731
+            forms = read("forms", np.uint16).reshape(1 + len(STEMS), -1).T
+            first = np.concatenate([[0], np.cumsum(read("counts", np.int64))])
+            yield batch.column("fold")[i].as_py(), batch.slice(i, 1), read("y", np.uint8).astype(np.int32), (forms, read("words", _number(len(forms))), first)
+
+
 def _epoch(shared, weights: list[float], seed: int):
     """Trains on whole shards, each from the shared networks on, and sends one sum for each fold."""
 
@@ -234,24 +307,19 @@ def _epoch(shared, weights: list[float], seed: int):
             if now is not None:
                 sums.setdefault(fold, _Sum()).add(nets[fold], net, rows)
 
-        for batch in batches:
-            numbers = batch.column("shard").to_numpy()
-            for part in np.split(np.arange(len(numbers)), np.flatnonzero(numbers[1:] != numbers[:-1]) + 1) if len(numbers) else []:
-                one = batch.slice(part[0], len(part))
-                if numbers[part[0]] != now:
-                    close()
-                    now, fold, rows, rng = numbers[part[0]], one.column("fold")[0].as_py(), 0, np.random.default_rng([seed, int(numbers[part[0]])])
-                    net = replace(nets[fold], **{k: getattr(nets[fold], k).copy() for k in ("embedding", "dense", "squares", "mean", "square")})
-                    lowest[fold] = min(int(now), lowest.get(fold, int(now)))
-                for some, buf, offsets in arrays.pieces(one, "text", _PIECE):
-                    forms, words, first = features(buf, offsets)
-                    y = some.column("y").to_numpy()
-                    order = rng.permutation(len(y))
-                    for texts in np.split(order, range(BATCH, len(order), BATCH)):
-                        counts = np.diff(first)[texts]
-                        of = words[arrays.ragged(first[:-1][texts], counts)]
-                        _learn(net, forms, of, np.concatenate([[0], np.cumsum(counts)]), y[texts], np.where(y[texts] == 1, weights[fold], 1.0))
-                    rows += len(y)
+        for of_fold, row, y, (forms, words, first) in _runs(batches):
+            number = row.column("shard")[0].as_py()
+            if number != now:
+                close()
+                now, fold, rows, rng = number, of_fold, 0, np.random.default_rng([seed, number])
+                net = replace(nets[fold], **{k: getattr(nets[fold], k).copy() for k in ("embedding", "dense", "squares", "mean", "square")})
+                lowest[fold] = min(now, lowest.get(fold, now))
+            order = rng.permutation(len(y))
+            for texts in np.split(order, range(BATCH, len(order), BATCH)):
+                counts = np.diff(first)[texts]
+                of = words[arrays.ragged(first[:-1][texts], counts)]
+                _learn(net, forms, of, np.concatenate([[0], np.cumsum(counts)]), y[texts], np.where(y[texts] == 1, weights[fold], 1.0))
+            rows += len(y)
         close()
         for fold, total in sums.items():
             for number, content in enumerate(total.parts()):
@@ -349,20 +417,22 @@ def train(
         docs = _maybe_labelled(docs, votes, votes.count())
     rows = docs.join(votes, "id").select("id", "text", "lang", "y", fold.alias("fold"), shard.alias("shard"))
     dealt = rows.repartitionById(sum(shards), "shard").sortWithinPartitions("shard", F.xxhash64("id", F.lit(5)), "id", "text", "lang")
-    dealt.drop("id").write.parquet(f"{scratch}/labelled")
+    dealt.drop("id").mapInArrow(_featured, _RUN).write.parquet(f"{scratch}/labelled")
     rows = spark.read.parquet(f"{scratch}/labelled")
     weights = [float(np.sqrt((sizes[k]["n"] - sizes[k]["toxic"]) / sizes[k]["toxic"])) for k in range(len(sizes))]
     nets = [_new_net(seed) for _ in sizes]
+    # a task sends a sum of 2.6 MB however little it has learned from, so where shards are many it takes several
+    tasks = max(spark.sparkContext.defaultParallelism, -(-sum(shards) // _SHARDS_PER_TASK))
     for number in range(epochs):
         shared = spark.sparkContext.broadcast(nets)
-        parts = rows.select("text", "y", "fold", "shard").mapInArrow(_epoch(shared, weights, seed + 1000 * number), _PART)
+        parts = rows.drop("langs").coalesce(tasks).mapInArrow(_epoch(shared, weights, seed + 1000 * number), _PART)
         parts = parts.groupBy("fold", "part").applyInArrow(_added, _PART).collect()
         nets = [_averaged(net, {r["part"]: bytes(r["content"]) for r in parts if r["fold"] == k}) for k, net in enumerate(nets)]
         shared.unpersist()
     nets = [Net(net.embedding, net.dense) for net in nets]
     # the network of the other fold scores each row
     shared = spark.sparkContext.broadcast(nets)
-    scored = rows.select("text", "y", "lang", "fold").mapInArrow(_other_logits(shared), "y int, lang string, net int, value double")
+    scored = rows.mapInArrow(_other_logits(shared), "y int, lang string, net int, value double")
     scored.write.parquet(f"{scratch}/scored")
     scored = spark.read.parquet(f"{scratch}/scored")
     cuts = _best_cuts(scored.withColumnRenamed("net", "scope"))
@@ -376,12 +446,12 @@ def train(
 def _other_logits(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nets = shared.value
-        for batch in batches:
-            for rows, buf, offsets in arrays.pieces(batch, "text", _PIECE):
-                found = features(buf, offsets)
-                net = (rows.column("fold").to_numpy() + 1) % len(nets)
-                value = np.choose(net, [logits(one, *found) for one in nets])
-                yield pa.RecordBatch.from_arrays([rows.column("y"), rows.column("lang"), pa.array(net, pa.int32()), pa.array(value, pa.float64())], names=["y", "lang", "net", "value"])
+        for fold, row, y, found in _runs(batches):
+            net = (fold + 1) % len(nets)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(y, pa.int32()), row.column("langs").flatten(), pa.array([net] * len(y), pa.int32()), pa.array(logits(nets[net], *found))],
+                names=["y", "lang", "net", "value"],
+            )
 
     return run
 
@@ -393,8 +463,7 @@ def _score(shared, text: str, into: str):
             for rows, buf, offsets in arrays.pieces(batch, text, _PIECE):
                 value = np.full(rows.num_rows, model.always)
                 if model.nets:
-                    found = features(buf, offsets)
-                    value = np.mean([logits(net, *found) for net in model.nets], axis=0)
+                    value = np.mean(_logits(model.nets, *features(buf, offsets)), axis=0)
                 score = 1 / (1 + np.exp(-np.clip(value, -30, 30)))
                 kept = [n for n in rows.schema.names if n != text]
                 yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in kept), pa.array(score)], names=[*kept, into])
